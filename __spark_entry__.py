@@ -93,13 +93,21 @@ def _sessions(spark, sf_dir):
     return sessions.build_sessions(_events(spark, sf_dir))
 
 
+def _stored_events(spark, sf_dir):
+    """The layer as the jobs store it, for queries that read it more than once."""
+    return stage(_events(spark, sf_dir), "fact_events")
+
+
+def _stored_sessions(spark, sf_dir):
+    return stage(_sessions(spark, sf_dir), "fact_sessions")
+
+
 def _labelled(spark, sf_dir):
-    return _sessions(spark, sf_dir).withColumn("label", F.col("has_purchase"))
+    return _stored_sessions(spark, sf_dir).withColumn("label", F.col("has_purchase"))
 
 
 def _features(spark, sf_dir):
-    # Sessions and event features both come from the cleaned events: clean them once.
-    events = stage(_events(spark, sf_dir), "fact_events")
+    events = _stored_events(spark, sf_dir)
     return features.session_features(sessions.build_sessions(events), events)
 
 
@@ -141,7 +149,7 @@ def scan_parquet(spark, sf_dir):
 @query
 def views_count(spark, sf_dir):
     root = scratch_path(spark, "lake")
-    events = stage(_events(spark, sf_dir), "fact_events")
+    events = _stored_events(spark, sf_dir)
     layers = {
         "fact_events": events,
         "fact_sessions": sessions.build_sessions(events),
@@ -194,7 +202,7 @@ def sink_json_roundtrip(spark, sf_dir):
 @query
 def mart_rows(spark, sf_dir):
     """The three marts stored and queried through their views."""
-    events = stage(_events(spark, sf_dir), "fact_events")
+    events = _stored_events(spark, sf_dir)
     marts = {
         "mart_cohort_weekly_retention": cohorts.cohort_retention(events),
         "mart_experiment_readout": experiment.experiment_readout(events),
@@ -207,7 +215,7 @@ def mart_rows(spark, sf_dir):
 
 @query
 def warehouse_counts(spark, sf_dir):
-    events = _events(spark, sf_dir)
+    events = _stored_events(spark, sf_dir)
     return quality.warehouse_counts({"fact_events": events, "fact_sessions": sessions.build_sessions(events)})
 
 
@@ -311,7 +319,7 @@ def user_weekly_activity(spark, sf_dir):
 
 @query
 def cohort_activity_join(spark, sf_dir):
-    events = _events(spark, sf_dir)
+    events = _stored_events(spark, sf_dir)
     return cohorts.cohort_activity(cohorts.user_first_week(events), cohorts.user_weekly_activity(events))
 
 
@@ -449,7 +457,7 @@ def time_split_dates(spark, sf_dir):
 
 @query
 def split_rows(spark, sf_dir):
-    return features.assign_split(_sessions(spark, sf_dir)).select("session_id", "session_date", "split")
+    return features.assign_split(_stored_sessions(spark, sf_dir)).select("session_id", "session_date", "split")
 
 
 @query
@@ -526,7 +534,7 @@ def thin_curve(spark, sf_dir):
 
 @query
 def overview_kpis(spark, sf_dir):
-    events = stage(_events(spark, sf_dir), "fact_events")
+    events = _stored_events(spark, sf_dir)
     return reporting.overview_kpis(
         sessions.build_sessions(events), cohorts.cohort_retention(events), experiment.experiment_readout(events)
     )
@@ -555,12 +563,12 @@ def funnel_count_series(spark, sf_dir):
 
 @query
 def sample_scores(spark, sf_dir):
-    return sampling.sample_rows(_scores(spark, sf_dir), "session_id", n=100)
+    return sampling.sample_rows(synthetic_scores(_stored_sessions(spark, sf_dir)), "session_id", n=100)
 
 
 @query
 def score_histogram(spark, sf_dir):
-    return reporting.score_histogram(stage(_scores(spark, sf_dir), "scores"))
+    return reporting.score_histogram(synthetic_scores(_stored_sessions(spark, sf_dir)))
 
 
 # ---- models (row counts only; few boosting rounds keep the check short) ----
@@ -606,7 +614,7 @@ def score_summary(spark, sf_dir):
 
 @query
 def model_report(spark, sf_dir):
-    events = stage(_events(spark, sf_dir), "fact_events")
+    events = _stored_events(spark, sf_dir)
     table = stage(features.session_features(sessions.build_sessions(events), events), "features")
     report = modelling.fit_and_report(table, events, gbt_iter=ROUNDS, min_rows_per_leaf=LEAF_ROWS)[-1]
     return report.select(*[F.to_json(c).alias(c) if c != "best_iteration" else c for c in report.columns])

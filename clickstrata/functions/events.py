@@ -44,9 +44,14 @@ def session_label() -> Column:
 
 
 def session_key(user: str = "user_id", label: Column | str | None = None) -> Column:
-    """SHA-256 over user and session label: the same id on every run and engine."""
+    """SHA-256 over user and session label: the same id on every run and engine.
+
+    The digest is never NULL. Saying so spares the not-null filter that a join
+    on the id would otherwise push down to the events, one digest per event.
+    """
     label = session_label() if label is None else label
-    return F.sha2(F.concat_ws(schema.SESSION_SEPARATOR, F.col(user).cast("string"), label), 256)
+    text = F.concat_ws(schema.SESSION_SEPARATOR, F.col(user).cast("string"), label)
+    return F.coalesce(F.sha2(text, 256), F.lit(""))
 
 
 def category_key() -> Column:

@@ -1,8 +1,10 @@
 """Readers and writers. Every writer uses Spark's own file formats and committers."""
 
 from collections.abc import Iterable, Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickstrata import schema
 
@@ -39,9 +41,22 @@ def layer_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{LAYERS[name]}"
 
 
-def read_layer(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A stored layer; ``year`` and ``month`` come back from the folder names."""
-    return spark.read.parquet(layer_path(root, name))
+def read_layer(
+    spark: SparkSession, root: str, name: str, since: date | None = None, until: date | None = None
+) -> DataFrame:
+    """A stored layer; ``year`` and ``month`` come back from the folder names.
+
+    ``since`` and ``until`` (both inclusive) limit the rows by their event or
+    session date. The same bounds on year and month keep other folders unread.
+    """
+    df = spark.read.parquet(layer_path(root, name))
+    day = F.col("session_date" if "session_date" in df.columns else "event_date")
+    month = F.col("year") * 12 + F.col("month")
+    if since:
+        df = df.where(day >= F.lit(since)).where(month >= since.year * 12 + since.month)
+    if until:
+        df = df.where(day <= F.lit(until)).where(month <= until.year * 12 + until.month)
+    return df
 
 
 def register_views(spark: SparkSession, root: str, names: Iterable[str] = VIEWS) -> dict[str, DataFrame]:

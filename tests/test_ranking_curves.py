@@ -1,0 +1,227 @@
+"""Score evaluation against direct NumPy computations."""
+
+import math
+from pathlib import Path
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from clickstrata.operators import curves, ordering, ranking
+from clickstrata.operators.reporting import score_histogram
+
+from feeds import scores as score_rows
+
+
+def _case(kind, n=400):
+    rng = np.random.default_rng(7)
+    label = (rng.random(n) < 0.3).astype(int)
+    noise = rng.random(n)
+    score = {
+        "smooth": 0.6 * noise + 0.4 * label * rng.random(n),
+        "ties": np.round(0.5 * noise + 0.3 * label, 1),
+        "one_value": np.full(n, 0.25),
+        "crowded": np.where(rng.random(n) < 0.4, 0.0001, noise * 1e-6),
+    }[kind]
+    ids = [f"s{i:05d}" for i in rng.permutation(n)]
+    return pd.DataFrame({"session_id": ids, "label": label, "score": score})
+
+
+KINDS = ["smooth", "ties", "one_value", "crowded"]
+
+
+@pytest.fixture(scope="module", params=KINDS)
+def case(request, spark):
+    pdf = _case(request.param)
+    df = score_rows(spark, *pdf.itertuples(index=False, name=None)).repartition(5)
+    return pdf, df
+
+
+def _sorted(pdf):
+    return pdf.sort_values(["score", "session_id"], ascending=[False, True]).reset_index(drop=True)
+
+
+def _steps(pdf):
+    """Scores, true and false positives at each distinct score, from the highest."""
+    grouped = pdf.groupby("score")["label"].agg(["sum", "size"]).sort_index(ascending=False)
+    tp = grouped["sum"].cumsum().to_numpy()
+    return grouped.index.to_numpy(), tp, grouped["size"].cumsum().to_numpy() - tp
+
+
+def test_ranks(case):
+    pdf, df = case
+    found = ranking.rank_scores(df).orderBy("rank").toPandas()
+    assert found["rank"].tolist() == list(range(1, len(pdf) + 1))
+    assert found["session_id"].tolist() == _sorted(pdf)["session_id"].tolist()
+
+
+def test_top_fractions(case):
+    pdf, df = case
+    ordered = _sorted(pdf)["label"].to_numpy()
+    found = {r["cutoff"]: r for r in ranking.ranking_metrics(ranking.rank_scores(df)).collect()}
+    for fraction in (0.01, 0.05, 0.1):
+        k = max(1, int(len(pdf) * fraction))
+        row = found[f"top_{int(fraction * 100)}pct"]
+        precision = ordered[:k].mean()
+        assert (row["k"], row["precision"]) == (k, pytest.approx(precision))
+        assert row["recall"] == pytest.approx(ordered[:k].sum() / ordered.sum())
+        assert row["lift"] == pytest.approx(precision / ordered.mean())
+
+
+def test_lift_curve(case):
+    pdf, df = case
+    ordered = _sorted(pdf)
+    ordered["bucket"] = pd.qcut(ordered.index + 1, q=20, labels=False, duplicates="drop")
+    expected = ordered.groupby("bucket").agg(n=("label", "size"), hits=("label", "sum"), avg=("score", "mean"))
+    found = ranking.lift_curve(ranking.rank_scores(df)).orderBy("bucket").toPandas()
+    assert found["samples"].tolist() == expected["n"].tolist()
+    assert found["positives"].tolist() == expected["hits"].tolist()
+    assert np.allclose(found["avg_score"], expected["avg"])
+    assert found["cumulative_recall"].iloc[-1] == 1.0 and found["cumulative_fraction"].iloc[-1] == 1.0
+
+
+def test_areas(case):
+    pdf, df = case
+    _, tp, fp = _steps(pdf)
+    steps = curves.score_steps(df)
+    positive, negative = pdf[pdf.label == 1].score.to_numpy(), pdf[pdf.label == 0].score.to_numpy()
+    wins = (positive[:, None] > negative).sum() + 0.5 * (positive[:, None] == negative).sum()
+    assert curves.roc_auc(steps).first()[0] == pytest.approx(wins / (len(positive) * len(negative)))
+    recall, precision = tp / tp[-1], tp / (tp + fp)
+    area = (np.diff(np.r_[0, recall]) * precision).sum()
+    assert curves.average_precision(steps).first()[0] == pytest.approx(area)
+
+
+def test_roc_points(case):
+    pdf, df = case
+    _, tp, fp = _steps(pdf)
+    steps = curves.score_steps(df)
+    full = curves.roc_curve(steps, drop_collinear=False).orderBy("point").toPandas()
+    assert np.allclose(full["fpr"], np.r_[0, fp] / fp[-1]) and np.allclose(full["tpr"], np.r_[0, tp] / tp[-1])
+    keep = np.r_[True, (np.diff(fp, 2) != 0) | (np.diff(tp, 2) != 0), True] if len(tp) > 2 else np.full(len(tp), True)
+    thin = curves.roc_curve(steps).orderBy("point").toPandas()
+    assert np.allclose(thin["fpr"], np.r_[0, fp[keep]] / fp[-1])
+    assert thin["point"].tolist() == list(range(len(thin))) and set(thin["last_point"]) == {len(thin) - 1}
+
+
+def test_pr_points(case):
+    pdf, df = case
+    _, tp, fp = _steps(pdf)
+    found = curves.pr_curve(curves.score_steps(df)).orderBy("point").toPandas()
+    assert np.allclose(found["recall"], np.r_[(tp / tp[-1])[::-1], 0])
+    assert np.allclose(found["precision"], np.r_[(tp / (tp + fp))[::-1], 1])
+
+
+def test_calibration(case):
+    pdf, df = case
+    edges = np.percentile(pdf.score, np.linspace(0, 100, 11))
+    bins = np.searchsorted(edges[1:-1], pdf.score)
+    expected = pdf.groupby(bins).agg(n=("label", "size"), seen=("label", "mean"), said=("score", "mean"))
+    found = ranking.calibration_curve(ranking.rank_scores(df)).orderBy("bin").toPandas()
+    assert found["bin"].tolist() == expected.index.tolist()
+    assert found["samples"].tolist() == expected["n"].tolist()
+    assert np.allclose(found["observed"], expected["seen"]) and np.allclose(found["predicted"], expected["said"])
+
+
+def test_threshold_metrics(case):
+    pdf, df = case
+    called, label = pdf.score >= 0.5, pdf.label == 1
+    row = ranking.threshold_metrics(df).first()
+    assert row["true_positives"] == (called & label).sum() and row["true_negatives"] == (~called & ~label).sum()
+    precision = (called & label).sum() / called.sum() if called.any() else 0.0
+    recall = (called & label).sum() / label.sum()
+    f1 = 2 * precision * recall / (precision + recall) if precision + recall else 0.0
+    assert (row["precision"], row["recall"], row["f1"]) == (
+        pytest.approx(precision), pytest.approx(recall), pytest.approx(f1))
+    assert row["brier_score"] == pytest.approx(((pdf.score - pdf.label) ** 2).mean())
+
+
+def test_histogram(case):
+    pdf, df = case
+    found = score_histogram(df, bins=50).toPandas()
+    low, high = pdf.score.min(), pdf.score.max()
+    assert found["n"].sum() == len(pdf)
+    if low == high:
+        assert set(found["bin"]) == {0} and found["density"].isna().all()
+        return
+    for label, part in found.groupby("label"):
+        assert (part["density"] * (high - low) / 50).sum() == pytest.approx(1.0)
+        expected = np.minimum(np.floor((pdf[pdf.label == label].score - low) / ((high - low) / 50)), 49)
+        assert dict(zip(part["bin"], part["n"])) == expected.astype(int).value_counts().to_dict()
+
+
+def test_sets_are_evaluated_apart(spark):
+    parts = {kind: _case(kind, n) for kind, n in (("smooth", 130), ("ties", 90), ("one_value", 40))}
+    rows = [(kind, *row) for kind, pdf in parts.items() for row in pdf.itertuples(index=False, name=None)]
+    together = spark.createDataFrame(rows, "kind string, session_id string, label int, score double")
+    ranked, steps = ranking.rank_scores(together, ["kind"]), curves.score_steps(together, ["kind"])
+    builders = {
+        "top": (lambda r, s, by: ranking.ranking_metrics(r, by=by)),
+        "lift": (lambda r, s, by: ranking.lift_curve(r, by=by)),
+        "calibration": (lambda r, s, by: ranking.calibration_curve(r, by=by)),
+        "auc": (lambda r, s, by: curves.roc_auc(s, by)),
+        "ap": (lambda r, s, by: curves.average_precision(s, by)),
+        "roc": (lambda r, s, by: curves.roc_curve(s, by)),
+        "pr": (lambda r, s, by: curves.pr_curve(s, by)),
+    }
+    for kind in parts:
+        alone = together.where(F.col("kind") == kind).drop("kind")
+        own = ranking.rank_scores(alone), curves.score_steps(alone)
+        for build in builders.values():
+            joint = build(ranked, steps, ["kind"]).where(F.col("kind") == kind).drop("kind")
+            key = joint.columns[0]
+            left = joint.orderBy(key).toPandas()
+            right = build(*own, ()).select(joint.columns).orderBy(key).toPandas()
+            pd.testing.assert_frame_equal(left, right)
+
+
+def test_single_class_and_tiny_tables(spark):
+    df = score_rows(spark, ("a", 0, 0.3), ("b", 0, 0.9))
+    steps, ranked = curves.score_steps(df), ranking.rank_scores(df)
+    assert curves.roc_auc(steps).first()[0] is None
+    assert curves.average_precision(steps).first()[0] == 0.0
+    assert {r["recall"] for r in curves.pr_curve(steps).where("point < 2").collect()} == {1.0}
+    assert {r["lift"] for r in ranking.ranking_metrics(ranked).collect()} == {0.0}
+    assert [(r["bucket"], r["samples"]) for r in ranking.lift_curve(ranked).orderBy("bucket").collect()] == [
+        (0, 1), (19, 1)]
+    one = ranking.rank_scores(df.limit(1))
+    assert ranking.lift_curve(one).first()["bucket"] == 0
+    assert ranking.calibration_curve(one).first()["samples"] == 1
+
+
+@pytest.mark.parametrize("n", [1, 2, 499, 500, 501, 502, 999, 1000, 1337, 4999])
+def test_thinning(spark, n):
+    curve = spark.range(n).select(F.col("id").alias("point"), F.lit(n - 1).cast("long").alias("last_point"))
+    found = sorted(r[0] for r in curves.thin_curve(curve).select("point").collect())
+    if n <= 500:
+        assert found == list(range(n))
+    else:
+        keep = np.linspace(0, n - 1, 500, dtype=int)
+        assert found == np.unique(np.r_[0, keep, n - 1]).tolist()
+
+
+def test_hot_value_is_spread_over_parts(spark):
+    # Two thirds of the rows share a score; the id in the sort key still splits them.
+    n = 30_000
+    df = spark.range(n).select(
+        F.format_string("s%06d", "id").alias("session_id"),
+        (F.col("id") % 7 == 0).cast("int").alias("label"),
+        F.when(F.col("id") % 3 == 0, F.rand(3)).otherwise(0.5).alias("score"),
+    )
+    conf = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(conf, "false")
+    try:
+        stored = ordering.ordered(df, [F.desc("score"), F.asc("session_id")])
+    finally:
+        spark.conf.set(conf, "true")
+    sizes = [r["count"] for r in stored.groupBy("_part").count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 0.4 * n
+    placed = ordering.positions(stored, ["label"])
+    assert placed.agg(F.count_distinct("position"), F.min("position"), F.max("position")).first() == (n, 1, n)
+
+
+def test_stored_tables_go_to_the_shared_folder(spark):
+    df = ranking.rank_scores(score_rows(spark, ("a", 1, 0.3)))
+    assert df.inputFiles() and all(spark.conf.get("spark.checkpoint.dir") in f for f in df.inputFiles())
+    assert math.isclose(df.first()["score"], 0.3) and Path(spark.conf.get("spark.checkpoint.dir")).exists()
