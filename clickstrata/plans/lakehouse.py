@@ -38,10 +38,11 @@ def _report(df: DataFrame, root: str, name: str, **paths: str) -> DataFrame:
 def run_bronze(
     spark: SparkSession, source: str | DataFrame, root: str, rebalance: bool | int = False, coalesce: int | None = None
 ) -> DataFrame:
-    """Raw CSV (or a raw DataFrame) to bronze. Without ``rebalance`` there is no shuffle."""
+    """Raw CSV (or a raw DataFrame) to bronze; reports the layer's rows. Without ``rebalance`` there is no shuffle."""
     raw = read_raw_csv(spark, source) if isinstance(source, str) else source
     path = layer_path(root, "bronze_events")
     write_layer(ingest_events(raw), path, rebalance=rebalance, coalesce=coalesce)
+    # Counting a stored layer takes the Parquet footers only.
     return _report(quality_bronze(read_layer(spark, root, "bronze_events")), root, "quality_bronze", out_bronze=path)
 
 

@@ -7,20 +7,26 @@ tables are written once and read back.
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 CONF = "spark.checkpoint.dir"
 
 
+@cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="run-")
+
+
 def _root(spark: SparkSession) -> str:
+    context = spark.sparkContext
     folder = spark.conf.get(CONF, None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError(f"set {CONF} to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set(CONF, folder)
-    return f"{folder.rstrip('/')}/clickstrata-{spark.sparkContext.applicationId}"
+        folder = _local_folder(context.applicationId)
+    return f"{folder.rstrip('/')}/clickstrata-{context.applicationId}"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -1,11 +1,15 @@
 from datetime import date
+from pathlib import Path
+from types import SimpleNamespace
 
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from clickstrata import schema, sources
 from clickstrata.operators.bronze import ingest_events
 from clickstrata.operators.quality import warehouse_counts
+from clickstrata.sources import scratch
 from clickstrata.sources.files import GOLD_TABLES
 
 from feeds import raw
@@ -74,13 +78,28 @@ def test_report_and_schema_listing(spark, tmp_path):
     ]
 
 
-def test_scratch_needs_a_shared_folder(spark, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir")
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path / "shared"))
-    try:
-        stored = sources.stage(spark.range(5), "numbers")
-        assert stored.count() == 5 and str(tmp_path / "shared") in stored.inputFiles()[0]
-        sources.clear_scratch(spark)
-        assert not list((tmp_path / "shared").glob("*/*"))
-    finally:
-        spark.conf.set("spark.checkpoint.dir", before)
+class _Session:
+    """As much of a session as the choice of the scratch folder looks at."""
+
+    def __init__(self, master, folder=None):
+        self.conf = {scratch.CONF: folder}
+        self.sparkContext = SimpleNamespace(master=master, applicationId="app-1")
+
+
+def test_scratch_folder():
+    assert scratch._root(_Session("yarn", "s3a://shared/tmp/")) == "s3a://shared/tmp/clickstrata-app-1"
+    assert scratch._root(_Session("local[2]", "/given")) == "/given/clickstrata-app-1"
+    with pytest.raises(RuntimeError, match="share"):
+        scratch._root(_Session("yarn"))
+    own = scratch._root(_Session("local[2]"))
+    assert own.endswith("/clickstrata-app-1") and own == scratch._root(_Session("local[2]"))
+
+
+def test_clear_scratch(spark, monkeypatch):
+    monkeypatch.setattr(scratch, "_root", lambda _, root=f"{scratch._root(spark)}-cleared": root)
+    stored = sources.stage(spark.range(5), "numbers")
+    assert stored.count() == 5
+    folder = Path(stored.inputFiles()[0].removeprefix("file://")).parents[1]
+    assert folder.exists()
+    sources.clear_scratch(spark)
+    assert not folder.exists()
