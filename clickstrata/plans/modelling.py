@@ -153,7 +153,7 @@ def fit_and_report(
         split,
         evaluation,
         feature_importance(gbt, features),
-        sample_summary(sample, max_rows),
+        sample_summary(sample, train),
         scored,
         experiment_readout_enhanced(events),
         gbt.stages[-1].getNumTrees,

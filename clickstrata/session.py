@@ -11,13 +11,19 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
+# Only settable when the session is built.
+BUILD_SETTINGS = {
+    # Plans are built from many small column calls; recording a stack trace on each costs more than the calls.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def build_session(app_name: str = "clickstrata", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with :data:`SETTINGS`; memory and parallelism stay with the deployment."""
+    """A session with the settings above; memory and parallelism stay with the deployment."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **conf}.items():
+    for key, value in {**SETTINGS, **BUILD_SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -6,60 +6,50 @@ unknown types, missing keys, sessions and prices, repeats with another price,
 users that start later and weeks that they skip.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from clickstrata import schema
-from clickstrata.sources.files import read_table
-
-FIRST_DAY = "2024-01-01"
-
-
-def _unless(hit: Column, value: Column) -> Column:
-    return F.when(~hit, value)
+from pyspark.sql import DataFrame, SparkSession
+
+EVENTS_SCHEMA = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+)
+# Which events and weeks a user has, the item an event is about, and its type.
+VISITS = [
+    "event_id",
+    "ts",
+    "user_id",
+    "value",
+    "cast(get_json_object(props, '$.k') AS bigint) AS item",
+    "datediff(cast(ts AS date), DATE '2024-01-01') AS day",
+    """CASE WHEN event_type = 'click' THEN 'cart'
+            WHEN event_type = 'purchase' AND event_id % 10 <> 0 THEN 'remove_from_cart'
+            ELSE event_type END AS kind""",
+]
+STARTED = "day >= user_id % 4 * 7"
+ACTIVE_WEEK = "(user_id div 4 + day div 7 * 2) % 3 <> 0"
+# One event in twenty arrives twice, the second time with another price.
+COPIES = "explode(CASE WHEN event_id % 20 = 0 THEN array(0.0D, 1.0D) ELSE array(0.0D) END) AS surcharge"
+FEED = [
+    """CASE WHEN event_id % 211 = 0 THEN 'not-a-time'
+            ELSE date_format(ts, 'yyyy-MM-dd HH:mm:ss') || ' UTC' END AS event_time""",
+    "CASE WHEN event_id % 7 = 0 THEN upper(kind) ELSE kind END AS event_type",
+    "CASE WHEN event_id % 101 <> 0 THEN item END AS product_id",
+    "CASE WHEN item % 13 <> 0 THEN item % 12 END AS category_id",
+    "CASE WHEN item % 3 <> 0 THEN 'cat.' || item % 9 END AS category_code",
+    "CASE WHEN item % 5 <> 0 THEN 'brand' || item % 8 END AS brand",
+    "CASE WHEN event_id % 53 <> 0 THEN value + surcharge END AS price",
+    "CASE WHEN event_id % 307 <> 0 THEN user_id END AS user_id",
+    "CASE WHEN event_id % 97 <> 0 THEN 's' || day div 2 END AS user_session",
+]
 
 
 def raw_events(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows with :data:`schema.RAW_EVENTS` derived from ``<folder>/events.parquet``."""
-    item = F.col("item")
-    event_id = F.col("event_id")
-    day = F.col("day")
-    week = F.floor(day / 7)
-    kind = (
-        F.when(F.col("event_type") == "click", "cart")
-        .when((F.col("event_type") == "purchase") & (event_id % 10 != 0), "remove_from_cart")
-        .otherwise(F.col("event_type"))
-    )
-    events = (
-        read_table(spark, folder, "events")
-        .withColumns(
-            {
-                "item": F.get_json_object("props", "$.k").cast("long"),
-                "day": F.datediff(F.to_date("ts"), F.lit(FIRST_DAY).cast("date")),
-            }
-        )
-        .where(day >= F.col("user_id") % 4 * 7)
-        .where((F.floor(F.col("user_id") / 4) + week * 2) % 3 != 0)
-    )
-    # One event in twenty arrives twice, the second time with another price.
-    copies = F.explode(F.when(event_id % 20 == 0, F.array(F.lit(0.0), F.lit(1.0))).otherwise(F.array(F.lit(0.0))))
-    return events.select("*", copies.alias("surcharge")).select(
-        F.when(event_id % 211 == 0, "not-a-time")
-        .otherwise(F.concat(F.date_format("ts", schema.EVENT_TIME_FORMAT), F.lit(" UTC")))
-        .alias("event_time"),
-        F.when(event_id % 7 == 0, F.upper(kind)).otherwise(kind).alias("event_type"),
-        _unless(event_id % 101 == 0, item).alias("product_id"),
-        _unless(item % 13 == 0, item % 12).alias("category_id"),
-        _unless(item % 3 == 0, F.concat(F.lit("cat."), (item % 9).cast("string"))).alias("category_code"),
-        _unless(item % 5 == 0, F.concat(F.lit("brand"), (item % 8).cast("string"))).alias("brand"),
-        _unless(event_id % 53 == 0, F.col("value") + F.col("surcharge")).alias("price"),
-        _unless(event_id % 307 == 0, F.col("user_id")).alias("user_id"),
-        _unless(event_id % 97 == 0, F.concat(F.lit("s"), F.floor(day / 2).cast("string"))).alias("user_session"),
-    )
+    """Rows in the raw feed's columns, derived from ``<folder>/events.parquet``."""
+    events = spark.read.schema(EVENTS_SCHEMA).parquet(f"{folder}/events.parquet")
+    visits = events.selectExpr(*VISITS).where(f"{STARTED} AND {ACTIVE_WEEK}")
+    return visits.selectExpr("*", COPIES).selectExpr(*FEED)
 
 
 def synthetic_scores(sessions: DataFrame) -> DataFrame:
     """(session_id, label, score): a repeatable score that leans towards the label and has many ties."""
-    noise = F.conv(F.substring("session_id", 1, 7), 16, 10).cast("long") % 1000
-    score = F.lit(0.7) * noise / 1000 + F.lit(0.3) * F.col("has_purchase")
-    return sessions.select("session_id", F.col("has_purchase").alias("label"), F.round(score, 4).alias("score"))
+    noise = "cast(conv(substr(session_id, 1, 7), 16, 10) AS bigint) % 1000"
+    score = f"round(0.7D * ({noise}) / 1000 + 0.3D * has_purchase, 4) AS score"
+    return sessions.selectExpr("session_id", "has_purchase AS label", score)

@@ -50,9 +50,9 @@ def test_heatmap_fill(spark):
 def test_erfc(spark):
     points = [k / 40 for k in range(0, 1080)]
     df = spark.createDataFrame([(x,) for x in points], "x double")
-    for row in df.select("x", erfc(F.col("x")).alias("y")).collect():
+    for row in df.select("x", erfc("x").alias("y")).collect():
         assert math.isclose(row["y"], math.erfc(row["x"]), rel_tol=1e-12)
-    tails = df.select("x", two_sided_p(F.col("x")).alias("p"), chi_square_sf(F.col("x")).alias("q"))
+    tails = df.select("x", two_sided_p("x").alias("p"), chi_square_sf("x").alias("q"))
     row = tails.where("x = 2.5").first()
     assert math.isclose(row["p"], math.erfc(2.5 / math.sqrt(2)), rel_tol=1e-12)
     assert math.isclose(row["q"], math.erfc(math.sqrt(1.25)), rel_tol=1e-12)

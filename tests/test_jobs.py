@@ -52,7 +52,7 @@ def test_modelling(spark, lake):
     root, _ = lake
     report = run_modelling(spark, root, gbt_iter=3, logistic_iter=30, min_rows_per_leaf=3, max_rows=40).first()
     assert report["dataset_profile"]["rows"] == 89
-    assert report["logistic_sampling"]["rows"] == 40
+    assert (report["logistic_sampling"]["rows"], report["logistic_sampling"]["sampled"]) == (40, True)
     assert {(m["model"], m["split"]) for m in report["models"]} == {
         (m, s) for m in ("logistic_regression", "boosted_trees") for s in ("validation", "test")}
     for entry in report["models"]:
