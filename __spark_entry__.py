@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from clickstrata import functions as fn  # noqa: E402
 from clickstrata import schema  # noqa: E402
-from clickstrata.functions import purchase_revenue, session_key  # noqa: E402
 from clickstrata.operators import (  # noqa: E402
     bronze,
     cohorts,
@@ -59,19 +59,26 @@ _QUERIES: dict[str, Query] = {}
 
 
 def query(build: Query) -> Query:
-    """Registers ``build`` under its name; doubles are rounded, as in the SQL."""
+    """Registers ``build`` under its name, in the form in which results are compared with SQL."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         apply_settings(spark)
-        return _rounded(build(spark, sf_dir))
+        return _comparable(build(spark, sf_dir))
 
     _QUERIES[build.__name__] = run
     return build
 
 
-def _rounded(df: DataFrame) -> DataFrame:
-    doubles = [f.name for f in df.schema.fields if f.dataType.simpleString() in ("double", "float")]
-    return df.withColumns({name: F.round(F.col(name).cast("double"), DECIMALS) for name in doubles})
+def _comparable(df: DataFrame) -> DataFrame:
+    """Doubles rounded, times as plain UTC clock times whatever zone the reader is in."""
+    changed = {}
+    for field in df.schema.fields:
+        kind = field.dataType.simpleString()
+        if kind in ("double", "float"):
+            changed[field.name] = F.round(F.col(field.name).cast("double"), DECIMALS)
+        elif kind == "timestamp":
+            changed[field.name] = F.col(field.name).cast("timestamp_ntz")
+    return df.withColumns(changed) if changed else df
 
 
 # ---- layers ---------------------------------------------------------------
@@ -265,13 +272,13 @@ def purchase_revenue_by_type(spark, sf_dir):
     return (
         silver.with_canonical_types(_bronze(spark, sf_dir))
         .groupBy("event_type")
-        .agg(F.sum(purchase_revenue()).alias("revenue"), F.count("*").alias("n"))
+        .agg(F.sum(fn.purchase_revenue()).alias("revenue"), F.count("*").alias("n"))
     )
 
 
 @query
-def session_key_values(spark, sf_dir):
-    return _events(spark, sf_dir).select("user_id", "user_session", session_key().alias("session_id")).distinct()
+def session_key(spark, sf_dir):
+    return _events(spark, sf_dir).select("user_id", "user_session", fn.session_key().alias("session_id")).distinct()
 
 
 @query

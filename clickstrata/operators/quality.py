@@ -68,7 +68,7 @@ def quality_bronze(bronze: DataFrame) -> DataFrame:
 def _ranked(entries: list[Column]) -> Column:
     """The entries with rows, most frequent first; stable, so ties keep the given order."""
     found = F.filter(F.array(*entries), lambda e: e["count"] > 0)
-    return F.array_sort(found, lambda a, b: (b["count"] - a["count"]).cast("int"))
+    return F.array_sort(found, lambda a, b: F.signum(b["count"] - a["count"]).cast("int"))
 
 
 def quality_events(events: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ def test_layers_match_the_queries(spark, sf_dir, lake):
     sizes = {"bronze_events": 432, "fact_events": 178, "fact_sessions": 89, "product_daily": 174, "user_daily": 119,
              "funnel_daily": 30}
     assert {name: read_layer(spark, root, name).count() for name in sizes} == sizes
-    stored = registry._rounded(read_layer(spark, root, "product_daily"))
+    stored = registry._comparable(read_layer(spark, root, "product_daily"))
     queried = registry.queries()["product_daily"](spark, sf_dir)
     assert stored.select(queried.columns).exceptAll(queried).isEmpty()
 
