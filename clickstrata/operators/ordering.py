@@ -31,9 +31,9 @@ def ordered(df: DataFrame, order: Sequence[Column], by: Sequence[str] = ()) -> D
 
 
 def _join_parts(df: DataFrame, parts: DataFrame, by: Sequence[str]) -> DataFrame:
-    # There is one row per part, at most spark.sql.shuffle.partitions of them. Groups add
-    # theirs, so with groups the planner decides on the measured size.
-    return df.join(parts if by else F.broadcast(parts), [*by, PART])
+    # Without groups there is one row per part, at most spark.sql.shuffle.partitions of them.
+    # Groups add theirs; stored, the table has a known size and the planner broadcasts it only if small.
+    return df.join(stage(parts, "parts") if by else F.broadcast(parts), [*by, PART])
 
 
 def _before(by: Sequence[str]) -> Window:
