@@ -1,9 +1,11 @@
 """The stored jobs, from CSV files to the model report."""
 
+import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 
 import __spark_entry__ as registry
+from clickstrata import schema
 from clickstrata.operators import curves, models, ranking
 from clickstrata.plans import run_lakehouse, run_modelling
 from clickstrata.sources import read_layer
@@ -74,3 +76,19 @@ def test_models_learn(spark, lake):
     for model in (models.train_logistic(features), models.train_gbt(features, max_iter=5, min_rows_per_leaf=2)):
         steps = curves.score_steps(ranking.score_table(models.score_sessions(model, features)))
         assert curves.roc_auc(steps).first()[0] > 0.75
+
+
+def test_logistic_is_the_balanced_optimum(spark, lake):
+    """The gradient of C * sum(weighted log loss) + |b|^2 / 2 vanishes at the fitted coefficients."""
+    features = read_layer(spark, lake[0], "ml_session_dataset")
+    c = 0.5
+    fitted = models.train_logistic(features, c=c, max_iter=1000).stages[-1]
+    table = features.toPandas()
+    x, y = table[schema.FEATURES].to_numpy(), table["label"].to_numpy()
+    weight = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))
+    slope, intercept = fitted.coefficients.toArray(), fitted.intercept
+    error = weight * (1 / (1 + np.exp(-(x @ slope + intercept))) - y)
+    gradient = (c * x.T @ error + slope) * np.maximum(x.std(axis=0), 1e-9)
+    start = c * x.T @ (weight * (0.5 - y)) * np.maximum(x.std(axis=0), 1e-9)
+    assert np.abs(gradient).max() < 1e-3 * np.abs(start).max()
+    assert abs(error.sum()) < 1e-3 * len(y)
