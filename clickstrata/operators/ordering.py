@@ -36,6 +36,9 @@ def _join_parts(df: DataFrame, parts: DataFrame, by: Sequence[str]) -> DataFrame
     return df.join(stage(parts, "parts") if by else F.broadcast(parts), [*by, PART])
 
 
+# The windows below run over one row per part (and group), never over the table itself.
+
+
 def _before(by: Sequence[str]) -> Window:
     return Window.partitionBy(*by).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
 

@@ -2,12 +2,14 @@
 
 import datetime
 import math
+import os
 
 import duckdb
 import pandas as pd
 import pytest
 
 import __spark_entry__ as registry
+from conftest import SF_DIR
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -15,6 +17,12 @@ TABLES = (
 ).split()
 
 
+@pytest.fixture(scope="module")
+def sf_dir():
+    """SF_DIR compares at another scale."""
+    return os.environ.get("SF_DIR", SF_DIR)
+
+
 @pytest.fixture(scope="module")
 def duck(sf_dir):
     connection = duckdb.connect()

@@ -78,6 +78,13 @@ def test_models_learn(spark, lake):
         assert curves.roc_auc(steps).first()[0] > 0.75
 
 
+def test_empty_validation_part_counts_as_none(spark, lake):
+    features = read_layer(spark, lake[0], "ml_session_dataset")
+    alone = models.train_gbt(features, max_iter=2, min_rows_per_leaf=5)
+    with_empty = models.train_gbt(features, features.limit(0), max_iter=2, min_rows_per_leaf=5)
+    assert models.score_sessions(alone, features).exceptAll(models.score_sessions(with_empty, features)).isEmpty()
+
+
 def test_logistic_is_the_balanced_optimum(spark, lake):
     """The gradient of C * sum(weighted log loss) + |b|^2 / 2 vanishes at the fitted coefficients."""
     features = read_layer(spark, lake[0], "ml_session_dataset")
