@@ -74,7 +74,8 @@ def running_totals(
     ``rows`` is a stored table or derived from one. Where the columns are already
     in the stored table, passing it spares the part totals the derivation.
     """
-    parts = (stored or rows).groupBy(*by, PART).agg(*[F.sum(name).alias(name) for name in columns])
+    source = rows if stored is None else stored
+    parts = source.groupBy(*by, PART).agg(*[F.sum(name).alias(name) for name in columns])
     offsets = parts.select(*by, PART, *_totals(columns, by))
     within = Window.partitionBy(*by, PART).orderBy(PLACE).rowsBetween(Window.unboundedPreceding, 0)
     joined = _join_parts(rows, offsets, by)
@@ -86,7 +87,8 @@ def next_row(
     rows: DataFrame, columns: Sequence[str], by: Sequence[str] = (), stored: DataFrame | None = None
 ) -> DataFrame:
     """Adds ``<column>_next``, the value on the following row of the group, across parts too."""
-    firsts = (stored or rows).groupBy(*by, PART).agg(
+    source = rows if stored is None else stored
+    firsts = source.groupBy(*by, PART).agg(
         *[F.min_by(name, PLACE).alias(f"_first_{name}") for name in columns]
     )
     following = Window.partitionBy(*by).orderBy(PART)
