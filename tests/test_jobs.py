@@ -78,6 +78,34 @@ def test_models_learn(spark, lake):
         assert curves.roc_auc(steps).first()[0] > 0.75
 
 
+def test_best_round():
+    assert models.best_round([3.0, 2.0, 2.5, 1.0, 1.5], patience=5) == 4
+    assert models.best_round([3.0, 2.0, 2.5, 2.2, 1.0], patience=2) == 2
+    assert models.best_round([3.0, 2.0, 1.0], patience=1) == 3
+    assert models.best_round([1.0, 2.0, 3.0], patience=30) == 1
+
+
+def test_early_stopping_keeps_the_best_rounds(spark, lake):
+    """On flipped labels the validation loss rises from the start: one round stays."""
+    features = read_layer(spark, lake[0], "ml_session_dataset")
+    flipped = features.withColumn("label", 1 - features["label"])
+    settings = dict(max_iter=4, min_rows_per_leaf=5)
+    assert models.train_gbt(features, flipped, **settings).stages[-1].getNumTrees == 1
+    assert models.train_gbt(features, features, **settings).stages[-1].getNumTrees == 4
+
+
+def test_shorter_model_has_the_first_rounds_of_the_longer(spark, lake):
+    features = read_layer(spark, lake[0], "ml_session_dataset")
+    long, short = (
+        models.train_gbt(features, max_iter=n, min_rows_per_leaf=5).stages[-1].trees for n in (4, 2)
+    )
+
+    def nodes(tree):
+        return tree.toDebugString.split("\n", 1)[1]
+
+    assert [nodes(t) for t in short] == [nodes(t) for t in long[:2]]
+
+
 def test_empty_validation_part_counts_as_none(spark, lake):
     features = read_layer(spark, lake[0], "ml_session_dataset")
     alone = models.train_gbt(features, max_iter=2, min_rows_per_leaf=5)

@@ -1,3 +1,4 @@
+import gzip
 from datetime import date
 from pathlib import Path
 from types import SimpleNamespace
@@ -21,6 +22,10 @@ def test_csv_file_and_folder(spark, tmp_path):
     (tmp_path / "one.csv").write_text(f"{HEADER}\n2024-01-01 00:00:00 UTC,view,1,2,a.b,x,1.5,9,s\n")
     (tmp_path / "two.csv").write_text(f"{HEADER}\n2024-01-01 00:00:01 UTC,cart,oops,,,,,9,\n")
     assert sources.read_raw_csv(spark, str(tmp_path / "one.csv")).count() == 1
+    with gzip.open(tmp_path / "packed.gz", "wt") as packed:
+        packed.write((tmp_path / "one.csv").read_text())
+    assert sources.read_raw_csv(spark, str(tmp_path / "packed.gz")).first()["user_id"] == 9
+    (tmp_path / "packed.gz").unlink()
     both = sources.read_raw_csv(spark, str(tmp_path)).orderBy("event_time").collect()
     assert [r["product_id"] for r in both] == [1, None]
     assert (both[1]["price"], both[1]["user_session"], both[1]["brand"]) == (None, None, None)
