@@ -7,8 +7,9 @@ from pyspark.ml import PipelineModel
 import __spark_entry__ as registry
 from clickstrata import schema
 from clickstrata.operators import curves, models, ranking
+from clickstrata.operators.features import session_features
 from clickstrata.plans import run_lakehouse, run_modelling
-from clickstrata.sources import read_layer
+from clickstrata.sources import export_parquet, read_layer
 from clickstrata.sources.sample_feed import raw_events
 
 
@@ -20,6 +21,14 @@ def lake(spark, sf_dir, tmp_path_factory):
     return root, marts
 
 
+@pytest.fixture(scope="module")
+def dataset(spark, lake):
+    root, _ = lake
+    events, sessions = (read_layer(spark, root, name) for name in ("fact_events", "fact_sessions"))
+    export_parquet(session_features(sessions, events), f"{root}/dataset")
+    return spark.read.parquet(f"{root}/dataset")
+
+
 def test_layers_match_the_queries(spark, sf_dir, lake):
     root, _ = lake
     sizes = {"bronze_events": 432, "fact_events": 178, "fact_sessions": 89, "product_daily": 174, "user_daily": 119,
@@ -70,11 +79,10 @@ def test_modelling(spark, lake):
     assert models.score_sessions(again, features).exceptAll(scores).isEmpty()
 
 
-def test_models_learn(spark, lake):
+def test_models_learn(dataset):
     """Scored on their own training rows, both models must rank far better than chance."""
-    features = read_layer(spark, lake[0], "ml_session_dataset")
-    for model in (models.train_logistic(features), models.train_gbt(features, max_iter=5, min_rows_per_leaf=2)):
-        steps = curves.score_steps(ranking.score_table(models.score_sessions(model, features)))
+    for model in (models.train_logistic(dataset), models.train_gbt(dataset, max_iter=5, min_rows_per_leaf=2)):
+        steps = curves.score_steps(ranking.score_table(models.score_sessions(model, dataset)))
         assert curves.roc_auc(steps).first()[0] > 0.75
 
 
@@ -85,19 +93,17 @@ def test_best_round():
     assert models.best_round([1.0, 2.0, 3.0], patience=30) == 1
 
 
-def test_early_stopping_keeps_the_best_rounds(spark, lake):
+def test_early_stopping_keeps_the_best_rounds(dataset):
     """On flipped labels the validation loss rises from the start: one round stays."""
-    features = read_layer(spark, lake[0], "ml_session_dataset")
-    flipped = features.withColumn("label", 1 - features["label"])
+    flipped = dataset.withColumn("label", 1 - dataset["label"])
     settings = dict(max_iter=4, min_rows_per_leaf=5)
-    assert models.train_gbt(features, flipped, **settings).stages[-1].getNumTrees == 1
-    assert models.train_gbt(features, features, **settings).stages[-1].getNumTrees == 4
+    assert models.train_gbt(dataset, flipped, **settings).stages[-1].getNumTrees == 1
+    assert models.train_gbt(dataset, dataset, **settings).stages[-1].getNumTrees == 4
 
 
-def test_shorter_model_has_the_first_rounds_of_the_longer(spark, lake):
-    features = read_layer(spark, lake[0], "ml_session_dataset")
+def test_shorter_model_has_the_first_rounds_of_the_longer(dataset):
     long, short = (
-        models.train_gbt(features, max_iter=n, min_rows_per_leaf=5).stages[-1].trees for n in (4, 2)
+        models.train_gbt(dataset, max_iter=n, min_rows_per_leaf=5).stages[-1].trees for n in (4, 2)
     )
 
     def nodes(tree):
@@ -106,19 +112,17 @@ def test_shorter_model_has_the_first_rounds_of_the_longer(spark, lake):
     assert [nodes(t) for t in short] == [nodes(t) for t in long[:2]]
 
 
-def test_empty_validation_part_counts_as_none(spark, lake):
-    features = read_layer(spark, lake[0], "ml_session_dataset")
-    alone = models.train_gbt(features, max_iter=2, min_rows_per_leaf=5)
-    with_empty = models.train_gbt(features, features.limit(0), max_iter=2, min_rows_per_leaf=5)
-    assert models.score_sessions(alone, features).exceptAll(models.score_sessions(with_empty, features)).isEmpty()
+def test_empty_validation_part_counts_as_none(dataset):
+    alone = models.train_gbt(dataset, max_iter=2, min_rows_per_leaf=5)
+    with_empty = models.train_gbt(dataset, dataset.limit(0), max_iter=2, min_rows_per_leaf=5)
+    assert models.score_sessions(alone, dataset).exceptAll(models.score_sessions(with_empty, dataset)).isEmpty()
 
 
-def test_logistic_is_the_balanced_optimum(spark, lake):
+def test_logistic_is_the_balanced_optimum(dataset):
     """The gradient of C * sum(weighted log loss) + |b|^2 / 2 vanishes at the fitted coefficients."""
-    features = read_layer(spark, lake[0], "ml_session_dataset")
     c = 0.5
-    fitted = models.train_logistic(features, c=c, max_iter=1000).stages[-1]
-    table = features.toPandas()
+    fitted = models.train_logistic(dataset, c=c, max_iter=1000).stages[-1]
+    table = dataset.toPandas()
     x, y = table[schema.FEATURES].to_numpy(), table["label"].to_numpy()
     weight = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))
     slope, intercept = fitted.coefficients.toArray(), fitted.intercept
