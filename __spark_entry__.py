@@ -6,8 +6,11 @@ mapped to the raw feed's columns, and runs the layers it needs.
 
 from __future__ import annotations
 
+import importlib.util
 import sys
+import tempfile
 from collections.abc import Callable
+from functools import cache
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,6 +49,7 @@ from clickstrata.sources import (  # noqa: E402
     write_layer,
     write_report,
 )
+from clickstrata.sources import scratch  # noqa: E402
 from clickstrata.sources.files import layer_path  # noqa: E402
 from clickstrata.sources.sample_feed import raw_events, synthetic_scores  # noqa: E402
 
@@ -58,11 +62,23 @@ Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
 
+def _prepare(spark: SparkSession) -> None:
+    """Settings, and a folder of this machine for intermediate tables where a local session names none."""
+    apply_settings(spark)
+    if not scratch.configured(spark) and spark.sparkContext.master.startswith("local["):
+        scratch.use_folder(spark, _own_folder(spark.sparkContext.applicationId))
+
+
+@cache
+def _own_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="run-")
+
+
 def query(build: Query) -> Query:
     """Registers ``build`` under its name, in the form in which results are compared with SQL."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        apply_settings(spark)
+        _prepare(spark)
         return _comparable(build(spark, sf_dir))
 
     _QUERIES[build.__name__] = run
@@ -635,9 +651,33 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["session_funnel_daily"](spark, SMOKE_DIR)
 
 
+def _text_queries() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the subpackage ``llm`` and of the pipeline, where they are installed."""
+    found, sql = {}, {}
+    if importlib.util.find_spec("clickstrata.llm"):
+        from clickstrata.llm.queries import ORACLES, QUERIES
+
+        found, sql = found | QUERIES, sql | ORACLES
+        if importlib.util.find_spec("corpus_pipeline"):
+            import corpus_pipeline
+
+            found["pipeline"] = corpus_pipeline.run
+            if corpus_pipeline.ORACLE_SQL:
+                sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {name: _prepared(build) for name, build in found.items()}, sql
+
+
+def _prepared(build: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        _prepare(spark)
+        return build(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return _QUERIES | _text_queries()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for name, sql in EXPECTED.items() if name in _QUERIES}
+    return {name: sql for name, sql in EXPECTED.items() if name in _QUERIES} | _text_queries()[1]

@@ -5,28 +5,30 @@ executor would draw new range bounds and the passes would disagree. Such
 tables are written once and read back.
 """
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 CONF = "spark.checkpoint.dir"
+_own: dict[str, str] = {}
 
 
-@cache
-def _local_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix="run-")
+def configured(spark: SparkSession) -> bool:
+    """Whether the session names the shared folder."""
+    return bool(spark.conf.get(CONF, None))
+
+
+def use_folder(spark: SparkSession, folder: str) -> None:
+    """The folder for a session that names none: the caller knows that all its executors reach it."""
+    _own[spark.sparkContext.applicationId] = folder
 
 
 def _root(spark: SparkSession) -> str:
-    context = spark.sparkContext
-    folder = spark.conf.get(CONF, None)
+    application = spark.sparkContext.applicationId
+    folder = spark.conf.get(CONF, None) or _own.get(application)
     if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError(f"set {CONF} to a folder that all executors share")
-        folder = _local_folder(context.applicationId)
-    return f"{folder.rstrip('/')}/clickstrata-{context.applicationId}"
+        raise RuntimeError(f"set {CONF} to a folder that all executors share")
+    return f"{folder.rstrip('/')}/clickstrata-{application}"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -41,8 +43,8 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def clear_scratch(spark: SparkSession) -> None:
-    """Delete this application's intermediate tables once nothing reads them any more."""
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_root(spark))
+def clear_scratch(spark: SparkSession, path: str | None = None) -> None:
+    """Delete this application's intermediate tables, or the one at ``path``, once nothing reads them any more."""
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path or _root(spark))
     file_system = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     file_system.delete(jvm_path, True)
