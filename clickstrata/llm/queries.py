@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, decontaminate, licenses, secrets, urls
+from . import chat, decontaminate, language, licenses, packing, secrets, urls
 
 # The rules, the extra conversation and the tables are what the queries' contract names.
 URL_RULES = (
@@ -28,6 +29,11 @@ def op2_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat.read_back(formatted, arranged=True)
 
 
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    found = language.identify(_table(spark, folder, "documents"), carry=["doc_id"])
+    return found.select("carried.doc_id", language.held_out(F.col("carried.doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan_secrets(_table(spark, folder, "documents"))
 
@@ -36,6 +42,10 @@ def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge_urls(_table(spark, folder, "pages"), urls.rules_table(spark, URL_RULES))
 
 
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_table(spark, folder, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.find_passages(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
     return decontaminate.summarise(found)
@@ -45,5 +55,5 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan_licenses(_table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_chat_format, op4_secret_scan, op7_url_filter, op9_decontamination, op10_license_scan)}
+QUERIES = {f.__name__: f for f in (op2_chat_format, op3_language_id, op4_secret_scan, op7_url_filter, op8_packing, op9_decontamination, op10_license_scan)}
 ORACLES: dict[str, str] = {}
