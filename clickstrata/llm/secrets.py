@@ -100,7 +100,7 @@ def candidates(documents: DataFrame, *, carry: Sequence[str] = (), id_col: str =
             for doc_id, text in zip(ids, part.column("text").to_pylist(), strict=True):
                 found = find_spans(text or "")
                 spans.append([dict(zip(("kind", "first", "stop", "digest"), s, strict=True)) for s in found])
-                keys.append(_row_key(doc_id, text or "") if found else None)
+                keys.append(_row_key(doc_id, text or ""))
             columns = [part.column(c) for c in ("carried", "doc_id", "text", "owner", "repo")] if carry else [part.column(c) for c in ("doc_id", "owner", "repo")]
             names = ["carried", "doc_id", "text", "owner", "repo"] if carry else ["doc_id", "owner", "repo"]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(keys, pa.int64()), pa.array(spans, _SPANS)], [*names, "row_key", "spans"])
@@ -118,7 +118,7 @@ def ownership(found: DataFrame) -> DataFrame:
 
 def row_owners(found: DataFrame) -> DataFrame:
     """(row_key, owners): for each row with candidates, the number of owners by digest."""
-    each = found.where("row_key IS NOT NULL").select("row_key", F.explode(F.array_distinct("spans.digest")).alias("digest")).distinct()
+    each = found.where(F.size("spans") > 0).select("row_key", F.explode(F.array_distinct("spans.digest")).alias("digest")).distinct()
     known = each.join(ownership(found), "digest")
     return known.groupBy("row_key").agg(F.map_from_entries(F.collect_list(F.struct("digest", "n_owners"))).alias("owners"))
 

@@ -140,7 +140,8 @@ def judge_urls(
 ) -> DataFrame:
     """(page_id, host, path, rule, verdict, trust, distrust) per page row."""
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
-    known = _rules_of_hosts(rows.select("host").distinct(), rules)
+    # Written first, so that the join below stands on two plain shuffles and adaptive execution can split a hot host.
+    known = stage(_rules_of_hosts(rows.select("host").distinct(), rules), "host_rules")
     best = F.filter("rules", lambda r: F.startswith(F.col("path"), r["path"]))
     fitted = rows.join(known, "host", "left").select("page_id", "host", "path", F.try_element_at(best, F.lit(1)).alias("best"))
     fitted = stage(fitted.select("page_id", "host", "path", F.col("best.rule").alias("rule"), F.col("best.verdict").alias("verdict")), "ruled")
