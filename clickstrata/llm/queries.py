@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, language, licenses, packing, secrets, urls
+from . import chat, decontaminate, jaccard, language, licenses, neighbours, packing, secrets, urls
 
 # The rules, the extra conversation and the tables are what the queries' contract names.
 URL_RULES = (
@@ -22,6 +22,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similar_documents(_table(spark, folder, "documents"))
+
+
 def op2_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     columns = ["conv_id", "turn", "role", "text"]
     extra = spark.createDataFrame([(-1, 0, "user", CONFLICT), (-1, 1, "assistant", CONFLICT)], "conv_id long, turn long, role string, text string")
@@ -38,6 +42,11 @@ def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan_secrets(_table(spark, folder, "documents"))
 
 
+def op6_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _table(spark, folder, "embeddings")
+    return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
 def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge_urls(_table(spark, folder, "pages"), urls.rules_table(spark, URL_RULES))
 
@@ -55,5 +64,18 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan_licenses(_table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_chat_format, op3_language_id, op4_secret_scan, op7_url_filter, op8_packing, op9_decontamination, op10_license_scan)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_ngram_jaccard_join,
+        op2_chat_format,
+        op3_language_id,
+        op4_secret_scan,
+        op6_nearest_neighbours,
+        op7_url_filter,
+        op8_packing,
+        op9_decontamination,
+        op10_license_scan,
+    )
+}
 ORACLES: dict[str, str] = {}
