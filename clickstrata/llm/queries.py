@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, jaccard, language, licenses, neighbours, packing, secrets, urls
+from . import chat, decontaminate, jaccard, language, licenses, neighbours, packing, pages, secrets, urls
 
 # The rules, the extra conversation and the tables are what the queries' contract names.
 URL_RULES = (
@@ -42,6 +42,11 @@ def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan_secrets(_table(spark, folder, "documents"))
 
 
+def op5_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    found = pages.extract(_table(spark, folder, "pages"))
+    return found.select("carried.*", "text", F.length("text").cast("long").alias("n_chars"), "n_blocks", "n_kept")
+
+
 def op6_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     vectors = _table(spark, folder, "embeddings")
     return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0))
@@ -71,6 +76,7 @@ QUERIES = {
         op2_chat_format,
         op3_language_id,
         op4_secret_scan,
+        op5_html_extraction,
         op6_nearest_neighbours,
         op7_url_filter,
         op8_packing,
