@@ -7,6 +7,7 @@ users that start later and weeks that they skip.
 """
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 EVENTS_SCHEMA = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -25,6 +26,8 @@ VISITS = [
 ]
 STARTED = "day >= user_id % 4 * 7"
 ACTIVE_WEEK = "(user_id div 4 + day div 7 * 2) % 3 <> 0"
+# Every event stays: those before a user's start and in skipped weeks are another user's.
+VISITOR = f"CASE WHEN {STARTED} AND {ACTIVE_WEEK} THEN user_id ELSE user_id + 1000000 END"
 # One event in twenty arrives twice, the second time with another price.
 COPIES = "explode(CASE WHEN event_id % 20 = 0 THEN array(0.0D, 1.0D) ELSE array(0.0D) END) AS surcharge"
 FEED = [
@@ -44,7 +47,7 @@ FEED = [
 def raw_events(spark: SparkSession, folder: str) -> DataFrame:
     """Rows in the raw feed's columns, derived from ``<folder>/events.parquet``."""
     events = spark.read.schema(EVENTS_SCHEMA).parquet(f"{folder}/events.parquet")
-    visits = events.selectExpr(*VISITS).where(f"{STARTED} AND {ACTIVE_WEEK}")
+    visits = events.selectExpr(*VISITS).withColumn("user_id", F.expr(VISITOR))
     return visits.selectExpr("*", COPIES).selectExpr(*FEED)
 
 

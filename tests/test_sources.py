@@ -108,3 +108,11 @@ def test_clear_scratch(spark, monkeypatch):
     assert folder.exists()
     sources.clear_scratch(spark)
     assert not folder.exists()
+
+
+def test_feed_keeps_every_event(spark, sf_dir):
+    from clickstrata.sources.sample_feed import raw_events
+
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    repeated = events.where("event_id % 20 = 0").count()
+    assert raw_events(spark, sf_dir).count() == events.count() + repeated
