@@ -42,10 +42,10 @@ from . import words as W
 SIZE = 5
 LONGEST_SMALL = 40  # largest boundary considered
 MOST_SUBSETS = 5_000  # subsets of one set for one partner size, at the most
-ORDER_ROUNDS = 2
-MOST_FREQUENT = 1 << 16  # bound on the shingles of long lists per round
+MOST_FREQUENT = 1 << 16  # bound on the shingles of long lists
 LONG_LIST = 32
 _SEEN = 1_000_000
+ENTRY_COLUMNS = ("bucket", "key", "size", "place", "least")
 _U = np.uint64
 
 
@@ -90,7 +90,11 @@ class Sets:
         late = np.zeros(len(h), bool)
         if frequent is not None and len(frequent):
             late = frequent[np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)] == h
-        order = np.lexsort((h, late, owner))
+        # Sorted by shingle first, then stably by text and lateness in small integers, which numpy sorts by digits.
+        order = np.argsort(h)
+        group = owner * 2 + late
+        group = group.astype(np.uint16) if 2 * len(texts) <= 1 << 16 else group
+        order = order[np.argsort(group[order], kind="stable")]
         h, owner = h[order], owner[order]
         fresh = np.ones(len(h), bool)
         fresh[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
@@ -142,55 +146,48 @@ def _keyed(documents: DataFrame, carry: Sequence[str], text_col: str) -> DataFra
     return rows.mapInArrow(run, f"carried {rows.schema['carried'].dataType.simpleString()}, key binary, n long")
 
 
-def _listed(texts: DataFrame, frequent: np.ndarray, over: int) -> DataFrame:
-    """(bucket, key, size, place) of the listed shingles of sets that a set of more than ``over`` can be linked with."""
+def _listed(sets: Sets, keys: np.ndarray, own: np.ndarray) -> pa.RecordBatch:
+    """(bucket, key, size, place, least) of the listed shingles of the sets ``own``; ``least`` is 0."""
+    place = np.arange(len(sets.hashes)) - sets.first[sets.owners]
+    kept = own[sets.owners] & (place < prefix(sets.sizes)[sets.owners])
+    owner = sets.owners[kept]
+    columns = [_signed(sets.hashes[kept]), _binary(keys[owner]), pa.array(sets.sizes[owner].astype(np.int32)), pa.array(place[kept].astype(np.int32))]
+    return pa.RecordBatch.from_arrays([*columns, pa.array(np.zeros(len(owner), np.int32))], ENTRY_COLUMNS)
+
+
+def _enumerated(sets: Sets, keys: np.ndarray, small: np.ndarray, boundary: int) -> Iterator[pa.RecordBatch]:
+    """The same of the subsets of the sets ``small``; ``least`` is the smaller of the two sizes meant."""
+    for s in np.unique(sets.sizes[small]).tolist():
+        own = np.flatnonzero(small & (sets.sizes == s))
+        values = W.mix(sets.hashes[sets.first[own][:, None] + np.arange(s)] ^ _U(0x2545F4914F6CDD1D))
+        total = values.sum(1)
+        for t in partners(s):
+            if not 0 < t <= boundary:
+                continue
+            left_out = np.array(list(combinations(range(s), s - needed(s, t))), np.int64).reshape(comb(s, needed(s, t)), -1)
+            rows = max(1, 200_000 // len(left_out))
+            for at in range(0, len(own), rows):
+                v = values[at : at + rows]
+                h = W.mix(total[at : at + rows, None] - v[:, left_out].sum(2) + _U(min(s, t) * 1000 + max(s, t)))
+                numbers = [pa.array(np.full(h.size, n, np.int32)) for n in (s, 0, min(s, t))]
+                yield pa.RecordBatch.from_arrays([_signed(h.ravel()), _binary(np.repeat(keys[own[at : at + rows]], len(left_out), 0)), *numbers], ENTRY_COLUMNS)
+
+
+def _entries(texts: DataFrame, frequent: np.ndarray, boundary: int) -> DataFrame:
+    """List entries of the sets that a set above the boundary can be linked with, and the subsets of the sets up to it."""
     sent = texts.sparkSession.sparkContext.broadcast(frequent)
-    least = partners(over + 1).start
+    least = max(1, partners(boundary + 1).start)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = _First()
         for part in W.slices(batches):
             sets = Sets(part.column("text"), sent.value)
             keys = sets.keys()
-            own = (sets.sizes >= max(1, least)) & first(keys)
-            place = np.arange(len(sets.hashes)) - sets.first[sets.owners]
-            kept = own[sets.owners] & (place < prefix(sets.sizes)[sets.owners])
-            owner = sets.owners[kept]
-            yield pa.RecordBatch.from_arrays(
-                [_signed(sets.hashes[kept]), _binary(keys[owner]), pa.array(sets.sizes[owner].astype(np.int32)), pa.array(place[kept].astype(np.int32))],
-                ["bucket", "key", "size", "place"],
-            )
-
-    return texts.mapInArrow(run, "bucket long, key binary, size int, place int")
+            fresh = (sets.sizes > 0) & first(keys)
+            yield _listed(sets, keys, fresh & (sets.sizes >= least))
+            yield from _enumerated(sets, keys, fresh & (sets.sizes <= boundary), boundary)
 
-
-def _enumerated(texts: DataFrame, boundary: int) -> DataFrame:
-    """(bucket, key, size, least): the subsets of the sets of up to ``boundary`` shingles; ``least`` is the smaller of the two sizes meant."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = _First()
-        for part in W.slices(batches):
-            sets = Sets(part.column("text"))
-            keys = sets.keys()
-            fresh = (sets.sizes > 0) & (sets.sizes <= boundary) & first(keys)
-            for s in np.unique(sets.sizes[fresh]).tolist():
-                own = np.flatnonzero(fresh & (sets.sizes == s))
-                values = W.mix(sets.hashes[sets.first[own][:, None] + np.arange(s)] ^ _U(0x2545F4914F6CDD1D))
-                total = values.sum(1)
-                for t in partners(s):
-                    if not 0 < t <= boundary:
-                        continue
-                    left_out = np.array(list(combinations(range(s), s - needed(s, t))), np.int64).reshape(comb(s, needed(s, t)), -1)
-                    rows = max(1, 200_000 // len(left_out))
-                    for at in range(0, len(own), rows):
-                        v = values[at : at + rows]
-                        h = W.mix(total[at : at + rows, None] - v[:, left_out].sum(2) + _U(min(s, t) * 1000 + max(s, t)))
-                        yield pa.RecordBatch.from_arrays(
-                            [_signed(h.ravel()), _binary(np.repeat(keys[own[at : at + rows]], len(left_out), 0)), pa.array(np.full(h.size, s, np.int32)), pa.array(np.full(h.size, min(s, t), np.int32))],
-                            ["bucket", "key", "size", "least"],
-                        )
-
-    return texts.mapInArrow(run, "bucket long, key binary, size int, least int")
+    return texts.mapInArrow(run, "bucket long, key binary, size int, place int, least int")
 
 
 def _boundary(sizes: DataFrame, mean_list: float) -> int:
@@ -207,20 +204,14 @@ def _boundary(sizes: DataFrame, mean_list: float) -> int:
 
 
 def _frequent(texts: DataFrame) -> tuple[np.ndarray, float]:
-    """Shingles with the longest lists (at most ``MOST_FREQUENT`` per round), and how many entries a listed shingle meets."""
-    known, mean_list = np.empty(0, _U), 1.0
-    for _ in range(ORDER_ROUNDS):
-        counted = stage(_listed(texts, known, 0).groupBy("bucket").agg(F.count("*").alias("entries")).where("entries > 1"), "lists")
-        total, squares = counted.agg(F.sum("entries"), F.sum(F.col("entries").cast("double") ** 2)).first()
-        if not total:
-            break
-        mean_list = squares / total
-        rows = counted.where(F.col("entries") > max(LONG_LIST, total // MOST_FREQUENT)).select("bucket").toLocalIterator()
-        fresh = np.fromiter((row[0] for row in rows), np.int64).view(_U)
-        known = np.unique(np.concatenate([known, fresh]))
-        if not len(fresh):
-            break
-    return known, mean_list
+    """Shingles with the longest lists (at most ``MOST_FREQUENT``), and how many entries a shingle of any other list meets."""
+    lists = _entries(texts, np.empty(0, _U), 0).groupBy("bucket").agg(F.count("*").alias("entries"))
+    counted = stage(lists.where("entries > 1"), "lists")
+    long = max(LONG_LIST, (counted.agg(F.sum("entries")).first()[0] or 0) // MOST_FREQUENT)
+    total, squares = counted.where(F.col("entries") <= long).agg(F.sum("entries"), F.sum(F.col("entries").cast("double") ** 2)).first()
+    rows = counted.where(F.col("entries") > long).select("bucket").toLocalIterator()
+    known = np.fromiter((row[0] for row in rows), np.int64).view(_U)
+    return np.sort(known), squares / total if total else 1.0
 
 
 def _pair(a: str, b: str) -> list:
@@ -310,16 +301,18 @@ def _roots(documents: DataFrame, keyed: DataFrame, text_col: str) -> DataFrame:
     texts = documents.select(F.col(text_col).alias("text"))
     frequent, mean_list = _frequent(texts)
     boundary = _boundary(keyed.where("n > 0").select("key", "n").distinct().groupBy("n").agg(F.count("*").alias("sets")), mean_list)
-    entries = stage(_listed(texts, frequent, boundary).distinct(), "entries")
+    entries = stage(_entries(texts, frequent, boundary).distinct(), "entries")
+    met = entries.groupBy("least", "bucket").agg(F.count("*").alias("members")).where("members > 1")
+    entries = stage(entries.join(met, ["least", "bucket"], "left_semi"), "met")
+    lists, small = entries.where("least = 0"), entries.where("least > 0")
     # In a list, sets of about one size have a pivot; any other links are found across components.
-    bands = entries.withColumn("band", F.floor(F.log("size") / F.log(F.lit(1.25))))
+    bands = lists.withColumn("band", F.floor(F.log("size") / F.log(F.lit(1.25))))
     near = _with_pivots(bands, _fits("size", "pivot_size"), ("bucket", "band"))
     if boundary:
         # All members of a subset's bucket are linked with one of the smaller size, if there is one.
-        small = _enumerated(texts, boundary).distinct()
         near = near.union(_with_pivots(small, F.col("pivot_size") == F.col("least"), ("bucket", "least"))).distinct()
     links = _links(near, texts)
-    across = _links(_across(entries, components(links)), texts)
+    across = _links(_across(lists, components(links)), texts)
     return components(links.union(across))
 
 
