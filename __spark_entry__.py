@@ -563,14 +563,17 @@ def overview_kpis(spark, sf_dir):
     )
 
 
+HEATMAP_WEEKS = range(9)  # the expected SQL needs named columns
+
+
 @query
 def cohort_heatmap(spark, sf_dir):
-    return reporting.cohort_heatmap(_retention(spark, sf_dir))
+    return reporting.cohort_heatmap(_retention(spark, sf_dir), HEATMAP_WEEKS)
 
 
 @query
 def cohort_heatmap_gaps(spark, sf_dir):
-    return reporting.cohort_heatmap(_retention(spark, sf_dir), fill=None)
+    return reporting.cohort_heatmap(_retention(spark, sf_dir), HEATMAP_WEEKS, fill=None)
 
 
 @query

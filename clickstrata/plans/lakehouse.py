@@ -1,8 +1,8 @@
 """Batch jobs from the raw feed to the marts.
 
 Each job reads the layer before it, writes its own, and reports from what it
-wrote, so that no lineage runs twice. A rerun over some months replaces only
-those months of a layer.
+wrote, so that no lineage runs twice. Bronze replaces the months that the feed
+holds; the later layers are rebuilt as a whole, so nothing stale stays in them.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,9 +36,9 @@ def _report(df: DataFrame, root: str, name: str, **paths: str) -> DataFrame:
 
 
 def run_bronze(
-    spark: SparkSession, source: str | DataFrame, root: str, rebalance: bool | int = False, coalesce: int | None = None
+    spark: SparkSession, source: str | DataFrame, root: str, rebalance: bool | int = True, coalesce: int | None = None
 ) -> DataFrame:
-    """Raw CSV (or a raw DataFrame) to bronze; reports the layer's rows. Without ``rebalance`` there is no shuffle."""
+    """Raw CSV (or a raw DataFrame) to bronze; reports the layer's rows. Without ``rebalance`` there is no shuffle, but up to a file per input split and month."""
     raw = read_raw_csv(spark, source) if isinstance(source, str) else source
     path = layer_path(root, "bronze_events")
     write_layer(ingest_events(raw), path, rebalance=rebalance, coalesce=coalesce)
@@ -49,7 +49,7 @@ def run_bronze(
 def run_silver(spark: SparkSession, root: str, rebalance: bool | int = True) -> DataFrame:
     """Bronze to ``fact_events`` with its quality report."""
     path = layer_path(root, "fact_events")
-    write_layer(clean_events(read_layer(spark, root, "bronze_events")), path, rebalance=rebalance)
+    write_layer(clean_events(read_layer(spark, root, "bronze_events")), path, dynamic=False, rebalance=rebalance)
     events = read_layer(spark, root, "fact_events")
     return _report(quality_events(events), root, "quality_silver_events", out_silver=path)
 
@@ -57,7 +57,7 @@ def run_silver(spark: SparkSession, root: str, rebalance: bool | int = True) ->
 def run_sessions(spark: SparkSession, root: str, rebalance: bool | int = True) -> DataFrame:
     """``fact_events`` to ``fact_sessions`` with its quality report."""
     path = layer_path(root, "fact_sessions")
-    write_layer(build_sessions(read_layer(spark, root, "fact_events")), path, rebalance=rebalance)
+    write_layer(build_sessions(read_layer(spark, root, "fact_events")), path, dynamic=False, rebalance=rebalance)
     sessions = read_layer(spark, root, "fact_sessions")
     return _report(quality_sessions(sessions), root, "quality_silver_sessions", out_sessions=path)
 
@@ -65,10 +65,10 @@ def run_sessions(spark: SparkSession, root: str, rebalance: bool | int = True) -
 def run_gold(spark: SparkSession, root: str, rebalance: bool | int = True) -> DataFrame:
     """The three daily aggregates; the funnel comes from the stored user days."""
     events = read_layer(spark, root, "fact_events")
-    write_layer(product_daily(events), layer_path(root, "product_daily"), rebalance=rebalance)
-    write_layer(user_daily(events), layer_path(root, "user_daily"), rebalance=rebalance)
+    write_layer(product_daily(events), layer_path(root, "product_daily"), dynamic=False, rebalance=rebalance)
+    write_layer(user_daily(events), layer_path(root, "user_daily"), dynamic=False, rebalance=rebalance)
     funnel = funnel_from_user_daily(read_layer(spark, root, "user_daily"))
-    write_layer(funnel, layer_path(root, "funnel_daily"), rebalance=rebalance)
+    write_layer(funnel, layer_path(root, "funnel_daily"), dynamic=False, rebalance=rebalance)
     manifest = layer_manifest(spark, root).agg(
         F.map_from_entries(F.collect_list(F.struct("table_name", "path"))).alias("tables")
     )

@@ -27,6 +27,7 @@ from clickstrata.operators.features import (
     time_split,
 )
 from clickstrata.operators.models import (
+    as_exported,
     feature_importance,
     score_sessions,
     score_summary,
@@ -50,14 +51,6 @@ from clickstrata.sources import (
     write_report,
 )
 
-ASSUMPTIONS = (
-    "A session is classified after it has ended.",
-    "Purchase counts and flags of the session are not model inputs.",
-    "User history covers days before the session's day only.",
-    "Splits follow the ordered session days of the data at hand.",
-    "The logistic baseline learns from a capped sample of large training splits.",
-)
-
 
 def _listed(df: DataFrame, by: Sequence[str], name: str, order: str) -> DataFrame:
     """The rows of each set as one ordered array of structs; for a handful of rows per set."""
@@ -101,8 +94,9 @@ def model_report(
     scored: DataFrame,
     experiment: DataFrame,
     best_iteration: int,
+    settings: dict[str, int],
 ) -> DataFrame:
-    """Everything about a modelling run in one row. ``features`` carries the split column."""
+    """Everything about a modelling run in one row. ``features`` carries the split column; ``settings`` are those of the run."""
 
     def one(df):
         return df.select(F.struct(*df.columns)).scalar()
@@ -112,7 +106,7 @@ def model_report(
 
     profile = dataset_profile(features).select("rows", "purchase_rate", "min_date", "max_date")
     return features.agg(F.max("session_date").alias("_")).select(
-        F.array(*[F.lit(text) for text in ASSUMPTIONS]).alias("assumptions"),
+        F.struct(*[F.lit(value).alias(name) for name, value in settings.items()]).alias("settings"),
         one(profile).alias("dataset_profile"),
         one(time_split(features)).alias("splits"),
         many(split_counts(features)).alias("split_counts"),
@@ -148,7 +142,7 @@ def fit_and_report(
         for name, model in (("logistic_regression", logistic), ("boosted_trees", gbt))
     ]
     evaluation = evaluate(sets[0].unionByName(sets[1]), ["model", "split"])
-    scored = score_sessions(gbt, features)
+    scored = stage(score_sessions(gbt, features), "all_scores")
     report = model_report(
         split,
         evaluation,
@@ -157,6 +151,7 @@ def fit_and_report(
         scored,
         experiment_readout_enhanced(events),
         gbt.stages[-1].getNumTrees,
+        dict(max_rows=max_rows, logistic_iter=logistic_iter, gbt_iter=gbt_iter, min_rows_per_leaf=min_rows_per_leaf),
     )
     return logistic, gbt, scored, report
 
@@ -169,7 +164,7 @@ def run_modelling(spark: SparkSession, root: str, **settings: int) -> DataFrame:
     export_parquet(features, layer_path(root, "ml_session_dataset"))
     features = read_layer(spark, root, "ml_session_dataset")
     logistic, gbt, scored, report = fit_and_report(features, events, **settings)
-    export_parquet(scored, layer_path(root, "ml_session_scores"))
+    export_parquet(as_exported(scored), layer_path(root, "ml_session_scores"))
     export_parquet(experiment_readout_enhanced(events), layer_path(root, "experiment_readout_enhanced"))
     write_report(report, f"{root}/reports/ml_metrics")
     logistic.write().overwrite().save(f"{root}/models/session_logistic_regression")

@@ -113,7 +113,8 @@ def export_parquet(df: DataFrame, path: str) -> None:
 
 def write_report(df: DataFrame, path: str) -> None:
     """A report (one row, or a few) as a single JSON file."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+    # A shuffle, so that the work before it keeps its tasks.
+    df.repartition(1).write.mode("overwrite").json(path)
 
 
 def describe(df: DataFrame) -> DataFrame:
