@@ -597,10 +597,7 @@ def score_histogram(spark, sf_dir):
     return reporting.score_histogram(synthetic_scores(_stored_sessions(spark, sf_dir)))
 
 
-# ---- models (row counts only; few boosting rounds keep the check short) ----
-
-ROUNDS = 5
-LEAF_ROWS = 10
+# ---- models (row counts only) ---------------------------------------------
 
 
 def _model_table(spark, sf_dir):
@@ -610,7 +607,7 @@ def _model_table(spark, sf_dir):
 def _boosted(spark, sf_dir):
     table = _model_table(spark, sf_dir)
     train, validation = (table.where(F.col("split") == name) for name in features.SPLITS[:2])
-    return table, models.train_gbt(train, validation, max_iter=ROUNDS, min_rows_per_leaf=LEAF_ROWS)
+    return table, models.train_gbt(train, validation)
 
 
 @query
@@ -642,7 +639,7 @@ def score_summary(spark, sf_dir):
 def model_report(spark, sf_dir):
     events = _stored_events(spark, sf_dir)
     table = stage(features.session_features(sessions.build_sessions(events), events), "features")
-    report = modelling.fit_and_report(table, events, gbt_iter=ROUNDS, min_rows_per_leaf=LEAF_ROWS)[-1]
+    report = modelling.fit_and_report(table, events)[-1]
     return report.select(*[F.to_json(c).alias(c) if c != "best_iteration" else c for c in report.columns])
 
 
