@@ -23,15 +23,15 @@ def overview_kpis(sessions: DataFrame, retention: DataFrame, readout: DataFrame)
 
 
 def cohort_heatmap(
-    retention: DataFrame, weeks: Sequence[int] | None = None, fill: float | None = 0.0
+    retention: DataFrame, weeks: Sequence[int] | None = None, fill: float | None = 0.0, at_least: int = 0
 ) -> DataFrame:
     """Retention with one row per cohort and one column per week; ``fill=None`` leaves gaps NULL.
 
-    Without ``weeks``, all weeks up to the last one in the data have a column.
+    Without ``weeks``, all weeks up to the last one in the data have a column, and the first ``at_least`` in any case.
     """
     if weeks is None:
         last = retention.agg(F.max("week_index")).first()[0]
-        weeks = range(0 if last is None else last + 1)
+        weeks = range(max(at_least, 0 if last is None else last + 1))
     wide = retention.groupBy("cohort_week").pivot("week_index", list(weeks)).agg(F.first("retention_rate"))
     names = {str(week): f"week_{week}" for week in weeks}
     out = wide.withColumnsRenamed(names)
