@@ -41,6 +41,7 @@ MAX_RUN = 32
 ROUNDS = 3
 SMOOTHING = 0.1
 UNKNOWN = 1e-7
+TINY = 1e-280  # a word's sum below this is taken in logarithms: single paths may have become 0
 _FLUSH = 200_000
 _GROUP = 4_000
 _CACHE = 300_000
@@ -82,6 +83,9 @@ class Lattice:
     length: int
     arcs: list[np.ndarray]  # arcs[n - 1]: words x places; piece number, or that of "none"
 
+    def of(self, rows: np.ndarray) -> Lattice:
+        return Lattice(self.length, [ids[rows] for ids in self.arcs])
+
 
 class Pieces:
     """The vocabulary as hashes of character strings."""
@@ -138,17 +142,30 @@ class Pieces:
     def log_likelihood(self, found: Sequence[str], table: np.ndarray) -> np.ndarray:
         """Words x languages: log of the sum over all segmentations; ``table`` is pieces x languages."""
         out = np.empty((len(found), table.shape[1]))
+        logs = _log(table)
         for numbers, lattice in self.groups(found):
-            out[numbers] = np.log(forward(lattice, lambda ids: table[ids])[-1])
+            sums = forward(lattice, lambda ids: table[ids])[-1]
+            out[numbers] = _log(sums)
+            small = np.flatnonzero((sums < TINY).any(1))
+            if len(small):
+                out[numbers[small]] = log_forward(lattice.of(small), lambda ids: logs[ids])[-1]
         return out
 
     def expected(self, found: Sequence[str], counts: np.ndarray, languages: np.ndarray, table: np.ndarray) -> np.ndarray:
         """Pieces x languages: how often each piece is used, over all segmentations of the words by their weight."""
         total = np.zeros_like(table)
+        logs = _log(table)
         for numbers, lattice in self.groups(found):
             own = languages[numbers]
             p = lambda ids, own=own: table[ids, own]
             ahead = forward(lattice, p)
+            small = ahead[-1] < TINY
+            if small.any():
+                self._expected_logs(lattice.of(small), counts[numbers[small]], own[small], logs, total)
+                if small.all():
+                    continue
+                lattice, numbers, own, ahead = lattice.of(~small), numbers[~small], own[~small], [x[~small] for x in ahead]
+                p = lambda ids, own=own: table[ids, own]
             behind = backward(lattice, p)
             weight = counts[numbers] / ahead[-1]
             for n, ids in enumerate(lattice.arcs, 1):
@@ -158,6 +175,17 @@ class Pieces:
                     np.add.at(total, (ids[used, at], own[used]), share)
         return total
 
+    def _expected_logs(self, lattice: Lattice, counts: np.ndarray, own: np.ndarray, logs: np.ndarray, total: np.ndarray) -> None:
+        """Adds to ``total`` what ``expected`` counts, for words whose probability is hardly more than 0."""
+        p = lambda ids: logs[ids, own]
+        ahead, behind = log_forward(lattice, p), log_backward(lattice, p)
+        possible = np.isfinite(ahead[-1])
+        for n, ids in enumerate(lattice.arcs, 1):
+            for at in range(ids.shape[1]):
+                used = np.flatnonzero((ids[:, at] < self.none) & possible)
+                share = np.exp(ahead[at][used] + logs[ids[used, at], own[used]] + behind[at + n][used] - ahead[-1][used])
+                np.add.at(total, (ids[used, at], own[used]), counts[used] * share)
+
 
 def forward(lattice: Lattice, p) -> list[np.ndarray]:
     """Probability of all ways to reach each place."""
@@ -179,6 +207,33 @@ def backward(lattice: Lattice, p) -> list[np.ndarray]:
     return sums
 
 
+def _log(values: np.ndarray) -> np.ndarray:
+    with np.errstate(divide="ignore"):
+        return np.log(values)
+
+
+def log_forward(lattice: Lattice, log_p) -> list[np.ndarray]:
+    """Logarithms of what :func:`forward` gives, which do not underflow."""
+    none = np.full_like(log_p(lattice.arcs[0][:, 0]), -np.inf)
+    sums = [np.zeros_like(none)] + [none] * lattice.length
+    for at in range(lattice.length):
+        for n, ids in enumerate(lattice.arcs, 1):
+            if at + n <= lattice.length:
+                sums[at + n] = np.logaddexp(sums[at + n], sums[at] + log_p(ids[:, at]))
+    return sums
+
+
+def log_backward(lattice: Lattice, log_p) -> list[np.ndarray]:
+    """Logarithms of what :func:`backward` gives, which do not underflow."""
+    none = np.full_like(log_p(lattice.arcs[0][:, 0]), -np.inf)
+    sums = [none] * lattice.length + [np.zeros_like(none)]
+    for at in range(lattice.length - 1, -1, -1):
+        for n, ids in enumerate(lattice.arcs, 1):
+            if at + n <= lattice.length:
+                sums[at] = np.logaddexp(sums[at], sums[at + n] + log_p(ids[:, at]))
+    return sums
+
+
 @dataclass
 class Model:
     languages: list[str]
