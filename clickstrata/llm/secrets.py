@@ -2,14 +2,13 @@
 
 Patterns find candidate strings in every text. Each candidate's digest is then
 counted over the corpus: in how many repositories and by how many owners it
-occurs. A string that many owners have is a copied example; one that a single
-owner has looks live. The fixed patterns are reported whatever their
-count. A long mixed string outside of them is added (kind ``unique``) only if at most
-``max_owners`` owners have it.
+occurs. A string that many owners or many repositories have is a copied example; one that
+a single owner has in a few repositories looks live. The fixed patterns are reported whatever their
+count. A long mixed string outside of them is added (kind ``unique``) only if it looks live.
 
 Positions are code points, ends exclusive. A null or empty text has no spans. Each
-document row gives one row; repeated rows and null ids keep theirs. A null
-owner or repository counts as one of its own.
+document row gives one row; repeated rows and null ids keep theirs. Without an
+owner, each repository is an owner of its own; rows without a repository share one.
 
 Counting goes from (digest, owner, repository) to (digest, owner) to digest,
 each with partial sums before its shuffle, so a string that a third of all rows
@@ -43,6 +42,8 @@ MIXED = re.compile(r"[A-Za-z0-9+/_=-]{24,}")
 MIN_BITS = 3.5  # of entropy per character
 MAX_OWNERS = 1
 COPIED_OWNERS = 3
+MAX_REPOS = 9  # a live string may stand in some repositories of its owner
+COPIED_REPOS = 10
 
 _SPAN = pa.struct([("kind", pa.string()), ("first", pa.int64()), ("stop", pa.int64()), ("digest", pa.string())])
 _SPANS = pa.list_(_SPAN)
@@ -111,20 +112,24 @@ def candidates(documents: DataFrame, *, carry: Sequence[str] = (), id_col: str =
 
 def ownership(found: DataFrame) -> DataFrame:
     """(digest, n_owners, n_repos): distinct owners and repositories of every candidate string."""
-    each = found.select(F.explode("spans.digest").alias("digest"), F.coalesce("owner", F.lit("")).alias("owner"), F.coalesce("repo", F.lit("")).alias("repo"))
+    repo = F.coalesce("repo", F.lit(""))
+    owner = F.coalesce(F.concat(F.lit("owner:"), "owner"), F.concat(F.lit("repo:"), repo))
+    each = found.select(F.explode("spans.digest").alias("digest"), owner.alias("owner"), repo.alias("repo"))
     by_owner = each.groupBy("digest", "owner", "repo").agg(F.lit(1).alias("one")).groupBy("digest", "owner").agg(F.count("*").alias("repos"))
     return by_owner.groupBy("digest").agg(F.count("*").alias("n_owners"), F.sum("repos").alias("n_repos"))
 
 
 def row_owners(found: DataFrame) -> DataFrame:
-    """(row_key, owners): for each row with candidates, the number of owners by digest."""
+    """(row_key, owners): for each row with candidates, whether it looks ``live`` or ``copied``, by digest."""
     each = found.where(F.size("spans") > 0).select("row_key", F.explode(F.array_distinct("spans.digest")).alias("digest")).distinct()
-    known = each.join(ownership(found), "digest")
-    return known.groupBy("row_key").agg(F.map_from_entries(F.collect_list(F.struct("digest", "n_owners"))).alias("owners"))
+    live = (F.col("n_owners") <= MAX_OWNERS) & (F.col("n_repos") <= MAX_REPOS)
+    copied = (F.col("n_owners") >= COPIED_OWNERS) | (F.col("n_repos") >= COPIED_REPOS)
+    judged = ownership(found).select("digest", F.struct(live.alias("live"), copied.alias("copied")).alias("is"))
+    return each.join(judged, "digest").groupBy("row_key").agg(F.map_from_entries(F.collect_list(F.struct("digest", "is"))).alias("owners"))
 
 
 def _added(span: Column, owners: Column) -> Column:
-    return (span["kind"] == "unique") & (owners[span["digest"]] <= MAX_OWNERS)
+    return (span["kind"] == "unique") & owners[span["digest"]]["live"]
 
 
 def _listed(spans: Column) -> Column:
@@ -148,8 +153,8 @@ def scan_secrets(documents: DataFrame, **columns: str) -> DataFrame:
         many("hex").alias("n_hex"),
         F.sha2(_listed(base), 256).alias("base_sha256"),
         _listed(kept).alias("spans"),
-        F.size(F.filter("spans", lambda s: owners[s["digest"]] <= MAX_OWNERS)).cast("long").alias("n_live"),
-        F.size(F.filter("spans", lambda s: owners[s["digest"]] >= COPIED_OWNERS)).cast("long").alias("n_copied"),
+        F.size(F.filter("spans", lambda s: owners[s["digest"]]["live"])).cast("long").alias("n_live"),
+        F.size(F.filter("spans", lambda s: owners[s["digest"]]["copied"])).cast("long").alias("n_copied"),
     )
 
 
