@@ -1,13 +1,18 @@
 """License notices in documents, by an exact set-similarity join with license templates.
 
-A text block (a line) meets a template when it holds at least ``threshold`` of
-the template's distinct words. The join orders the templates' words by the
+A text block meets a template when it holds at least ``threshold`` of the
+template's distinct words. Blocks are the lines of at most ``span`` words, where
+``span`` is the template's length divided by the threshold, and all windows of
+``span`` consecutive words, also across lines: a wrapped notice is found, and a
+long line is no bag of words. Overlapping windows that meet a template count as
+one match, the best and then the first; one that is no better than a line it overlaps is none.
+The join orders the templates' words by the
 number of times they occur in all documents, rarest first:
 
 * prefix: a block that meets a template of ``m`` words with ``need = ceil(threshold * m)``
   of them holds one of its first ``m - need + 1`` words, so only blocks with one of those are compared;
 * position: if the first of them found is number ``i``, at most ``m - i`` words can be shared;
-* length: a block of fewer than ``need`` words cannot meet it.
+* length: a block of fewer than ``need`` words cannot meet it, nor a window in which ``need`` of its words do not stand.
 
 What remains is counted exactly. The templates are a fixed list of this module
 (or the caller's; they are checked to be at most ``MAX_TEMPLATE_WORDS`` words).
@@ -102,19 +107,24 @@ class Matcher:
         self.table, self.seen = table, _low_bits(table)
         self.phrases = [(_hashes(text), label) for text, label in phrases]
         self.labels = [label for label, _ in templates]
-        self.sizes, self.needs, orders, prefix = [], [], [], []
+        self.sizes, self.needs, self.spans, orders, prefix = [], [], [], [], []
         for k, (_, text) in enumerate(templates):
-            own = np.searchsorted(table, np.unique(_hashes(text)))
+            words = _hashes(text)
+            own = np.searchsorted(table, np.unique(words))
             own = own[np.argsort(rank[own])]
             need = max(1, -(-round(threshold * 1000 * len(own)) // 1000))
             self.sizes.append(len(own))
             self.needs.append(need)
+            self.spans.append(max(len(words), -(-len(words) * 1000 // max(1, round(threshold * 1000)))))
             orders.append(own)
             prefix += [(word, k, i) for i, word in enumerate(own[: len(own) - need + 1])]
         # Template word sets as a matrix: fixed and small, templates x their words.
         self.has = np.zeros((len(templates), len(table)), bool)
         for k, own in enumerate(orders):
             self.has[k, own] = True
+        self.rare = np.zeros_like(self.has)
+        for word, k, _ in prefix:
+            self.rare[k, word] = True
         prefix.sort()
         self.prefix_word, self.prefix_template, self.prefix_place = (np.array(x, np.int64) for x in zip(*prefix, strict=True)) if prefix else (np.empty(0, np.int64),) * 3
 
@@ -129,7 +139,7 @@ class Matcher:
         entry = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
         lines, template = np.repeat(line, many), self.prefix_template[entry]
         need, size = np.array(self.needs)[template], np.array(self.sizes)[template]
-        open_ = (size - self.prefix_place[entry] >= need) & (sizes[lines] >= need)
+        open_ = (size - self.prefix_place[entry] >= need) & (sizes[lines] >= need) & (sizes[lines] <= np.array(self.spans)[template])
         for line_no, k in sorted(set(zip(lines[open_].tolist(), template[open_].tolist(), strict=True))):
             words = number[np.searchsorted(line, line_no) : np.searchsorted(line, line_no, side="right")]
             shared = int(self.has[k, np.unique(words)].sum())
@@ -137,6 +147,49 @@ class Matcher:
                 yield line_no, k, shared / self.sizes[k]
 
 
+    def windows(self, at: np.ndarray, number: np.ndarray, text: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
+        """(first word, last word, template, containment) of all windows that meet a template and begin with one of its words.
+
+        ``at`` and ``number``: places of the template words found, and which they are;
+        ``text``: the text of each; ``first``: where each text's words begin.
+        """
+        for k, (size, need, span) in enumerate(zip(self.sizes, self.needs, self.spans, strict=True)):
+            own = np.flatnonzero(self.has[k, number])
+            if not size or len(own) < need:
+                continue
+            places, words, texts = at[own], number[own], text[own]
+            begin = np.flatnonzero((places[need - 1 :] - places[: len(own) - need + 1] < span) & (texts[need - 1 :] == texts[: len(own) - need + 1]))
+            stop = np.searchsorted(places, np.minimum(places[begin] + span, first[texts[begin] + 1]))
+            rare = np.concatenate([[0], np.cumsum(self.rare[k, words])])
+            some = rare[stop] > rare[begin]
+            begin, stop = begin[some], stop[some]
+            step = max(1, (1 << 22) // span)
+            for low in range(0, len(begin), step):
+                a, b = begin[low : low + step], stop[low : low + step]
+                inside = a[:, None] + np.arange(int((b - a).max()))
+                shown = np.where(inside < b[:, None], words[np.minimum(inside, len(words) - 1)], -1)
+                shown.sort(1)
+                shared = (shown[:, 0] >= 0).astype(np.int64) + ((shown[:, 1:] != shown[:, :-1]) & (shown[:, 1:] >= 0)).sum(1)
+                for x in np.flatnonzero(shared >= need).tolist():
+                    yield int(places[a[x]]), int(places[b[x] - 1]), k, int(shared[x]) / size
+
+
+def _merged(windows: Iterator[tuple[int, int, int, float]], lines: np.ndarray, by_line: dict[tuple[int, int], float]) -> Iterator[tuple[int, int, float]]:
+    """(first word, template, containment) of the best of overlapping windows, without those that are no better than a line they overlap."""
+    best = None
+    for begin, last, k, share in windows:
+        if any(by_line.get((line, k), 0.0) >= share for line in range(int(lines[begin]), int(lines[last]) + 1)):
+            continue
+        if best and best[1] == k and begin <= best[3]:
+            best = (*((begin, k, share) if share > best[2] else best[:3]), max(last, best[3]))
+            continue
+        if best:
+            yield best[:3]
+        best = (begin, k, share, last)
+    if best:
+        yield best[:3]
+
+
 def _lines(found: W.Words, texts: pa.Array) -> np.ndarray:
     """Line number of each word, counted over all texts of the slice; a text begins a new line."""
     data, offsets = W.text_bytes(texts)
@@ -153,7 +206,7 @@ def scan_licenses(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """Words, phrase places, labels and the matched lines (``matches``: label, line from 0, containment) per document.
+    """Words, phrase places, labels and the matched blocks (``matches``: label, line from 0 where it begins, containment) per document.
 
     ``score`` is 1 where a phrase stands, else the largest containment that meets
     the threshold, else 0.
@@ -193,7 +246,10 @@ def scan_licenses(
             if len(at):
                 text_of = np.zeros(len(sizes), np.int64)
                 text_of[lines] = found.texts
-                for line, k, share in matcher.blocks(lines[at], sizes, number):
+                met = list(matcher.blocks(lines[at], sizes, number))
+                by_line = {(line, k): share for line, k, share in met}
+                windows = matcher.windows(at, number, found.texts[at], found.first)
+                for line, k, share in met + [(int(lines[begin]), k, share) for begin, k, share in _merged(windows, lines, by_line)]:
                     t = int(text_of[line])
                     labels[t].add(matcher.labels[k])
                     matches[t].append({"label": matcher.labels[k], "line": int(line - line0[t]), "score": share})
