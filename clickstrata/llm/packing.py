@@ -8,20 +8,22 @@ next window and becomes the seed there. When the neighbours are used up, the
 next unused document takes over as seed in the same window.
 
 Document frequencies and the average length are counted over all documents.
-Words are put into ``TERMS`` classes by hash, so this table has a fixed size. A
-seed is queried by its ``QUERY_TERMS`` best words by BM25 weight.
+Words are told apart by their whole 64-bit hash. Their frequencies stay in Spark:
+each shard is given those of its own words. A seed is queried by all of its words.
 
 A document is its token ids and the end id. A shard's last window, if not full,
 is cut into sequences whose lengths are powers of two, which take no padding.
-Shards are consecutive rows of a partition, at most ``shard_tokens`` long (a longer
-document is a shard of its own): nothing is shuffled, a lost task is done
-again alike, and every row, repeated or with a null id, is packed once. A null
-or empty text is its end id alone. Equal scores: the earlier document.
+Shards are consecutive rows of a partition, of at most ``BYTES_A_TOKEN * shard_tokens``
+bytes of text (a longer document is a shard of its own). They are stored with the
+texts, so that a lost task is done again alike and every row, repeated or with a
+null id, is packed once; then texts and frequencies are brought together by shard.
+A null or empty text is its end id alone. Equal scores: the earlier document.
 """
 
 from __future__ import annotations
 
 import json
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -32,14 +34,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources import stage
 from . import words as W
 
 VOCABULARY = "word_bpe_49k.json"
 WINDOW = 4096
 END_ID = 2
 SHARD_TOKENS = 4_000_000
-TERMS = 1 << 18
-QUERY_TERMS = 16
+BYTES_A_TOKEN = 4  # about, in English
+TERMS = 1 << 64  # all hashes
+QUERY_TERMS = math.inf  # all words
 K1, B = 1.2, 0.75
 _CACHE = 500_000
 _LONGEST_KEPT = 32
@@ -122,46 +126,95 @@ def encoder(path: str) -> Encoder:
 
 
 def _terms(part: pa.RecordBatch) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(word class, count) of each text."""
+    """(word hash, count) of each text."""
     found = W.words_of(part.column("text"), W.ALPHANUMERIC)
-    kinds = (found.hashes & np.uint64(TERMS - 1)).astype(np.int64)
+    kinds = found.hashes.view(np.int64)
     return [np.unique(kinds[a:b], return_counts=True) for a, b in zip(found.first[:-1], found.first[1:], strict=True)]
 
 
 @dataclass
 class Statistics:
-    """Over all documents: number, average words, and documents per word class."""
+    """Over all documents: number, average words, and documents per word, of the words given."""
 
     n_docs: int
     mean_words: float
+    kinds: np.ndarray  # sorted
     frequency: np.ndarray
 
     def idf(self) -> np.ndarray:
         return np.log1p((self.n_docs - self.frequency + 0.5) / (self.frequency + 0.5))
 
 
-def statistics(documents: DataFrame) -> Statistics:
-    """Counted in Spark, per task first; what reaches the driver is one row per word class."""
+def assign_shards(documents: DataFrame, shard_bytes: int) -> DataFrame:
+    """(shard, place, doc_id, text, n_words) per row of (doc_id, text).
+
+    A shard's number is the partition's and then a bound on the sequences of the
+    partition's shards before, so that sequences can be numbered from it on.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        shard = following = TaskContext.get().partitionId() << 40
+        size, place = 0, 0
+        for part in W.slices(batches):
+            shards = []
+            for length in np.diff(W.text_bytes(part.column("text"))[1]).tolist():
+                own = length + BYTES_A_TOKEN  # with the end id
+                if size and size + own > shard_bytes:
+                    shard, size = following, 0
+                size += own
+                following += 4 * length + 64
+                shards.append(shard)
+            places = pa.array(np.arange(place, place + part.num_rows))
+            place += part.num_rows
+            counts = pa.array(W.words_of(part.column("text"), W.ALPHANUMERIC).counts(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int64()), places, part.column("doc_id"), part.column("text"), counts], ["shard", "place", "doc_id", "text", "n_words"])
+
+    return documents.select("doc_id", "text").mapInArrow(run, "shard long, place long, doc_id long, text string, n_words long")
+
+
+def frequencies(sharded: DataFrame) -> DataFrame:
+    """(shard, kind, n): of every word of a shard, the number of documents in all shards that have it."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequency = np.zeros(TERMS + 2, np.int64)
+        current, own = None, []
         for part in W.slices(batches):
-            for kinds, counts in _terms(part):
-                frequency[kinds] += 1
-                frequency[TERMS] += 1
-                frequency[TERMS + 1] += counts.sum()
-        k = np.flatnonzero(frequency)
-        yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(frequency[k])], ["k", "n"])
+            for shard, (kinds, _) in zip(part.column("shard").to_pylist(), _terms(part), strict=True):
+                if shard != current and own:
+                    yield _counted(current, own)
+                    own = []
+                current = shard
+                own.append(kinds)
+        if own:
+            yield _counted(current, own)
+
+    counted = sharded.select("shard", "text").mapInArrow(count, "shard long, kind long, n long")
+    # A word has a row for each shard, or a few where tasks share a shard.
+    by_kind = counted.groupBy("kind").agg(F.sum("n").alias("n"), F.collect_set("shard").alias("shards"))
+    return by_kind.select(F.explode("shards").alias("shard"), "kind", "n")
 
-    total = np.zeros(TERMS + 2, np.int64)
-    for row in documents.select("text").mapInArrow(count, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toLocalIterator():
-        total[row["k"]] = row["n"]
-    n = int(total[TERMS])
-    return Statistics(n, float(total[TERMS + 1]) / n if n else 0.0, total[:TERMS])
+
+def _counted(shard: int, own: list[np.ndarray]) -> pa.RecordBatch:
+    kinds, n = np.unique(np.concatenate(own), return_counts=True)
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(kinds), shard)), pa.array(kinds), pa.array(n)], ["shard", "kind", "n"])
+
+
+def totals(sharded: DataFrame) -> tuple[int, float]:
+    """(documents, average words)."""
+    n, words = sharded.agg(F.count("*"), F.sum("n_words")).first()
+    return n, words / n if n else 0.0
+
+
+def statistics(documents: DataFrame) -> Statistics:
+    """Those of all words, on the driver: for small tables. :func:`pack` gives each shard its own."""
+    sharded = assign_shards(documents.select(F.lit(0).cast("long").alias("doc_id"), "text"), BYTES_A_TOKEN * SHARD_TOKENS)
+    found = frequencies(sharded).select("kind", "n").distinct().sort("kind").collect()
+    return Statistics(*totals(sharded), *(np.array([row[c] for row in found], np.int64) for c in ("kind", "n")))
 
 
 class Index:
-    """Inverted index of a shard: for each word class its documents and their BM25 weights."""
+    """Inverted index of a shard: for each word its documents and their BM25 weights."""
 
     def __init__(self, terms: list[tuple[np.ndarray, np.ndarray]], stats: Statistics, idf: np.ndarray) -> None:
         sizes = np.array([len(k) for k, _ in terms])
@@ -169,26 +222,21 @@ class Index:
         kinds = np.concatenate([k for k, _ in terms])
         counts = np.concatenate([n for _, n in terms]).astype(np.float64)
         length = np.bincount(docs, counts, len(terms))
-        weight = idf[kinds] * counts * (K1 + 1) / (counts + K1 * (1 - B + B * length[docs] / max(stats.mean_words, 1e-9)))
+        weight = idf[np.searchsorted(stats.kinds, kinds)] * counts * (K1 + 1) / (counts + K1 * (1 - B + B * length[docs] / max(stats.mean_words, 1e-9)))
         self.first_of_doc = np.concatenate([[0], np.cumsum(sizes)])
-        self.kinds, self.weights, self.n = kinds, weight, len(terms)
+        self.n = len(terms)
         order = np.argsort(kinds, kind="stable")
         self.docs, self.posted = docs[order], weight[order]
         present, begins = np.unique(kinds[order], return_index=True)
         place = np.searchsorted(present, kinds)
         ends = np.append(begins[1:], len(kinds))
-        self.low, self.high = begins[place], ends[place]  # of each (document, word class) its postings
+        self.low, self.high = begins[place], ends[place]  # of each (document, word) its postings
 
     def neighbours(self, seed: int, used: np.ndarray) -> np.ndarray:
-        """Unused documents that share a query word with the seed, best first."""
+        """Unused documents that share a word with the seed, best first."""
         own = slice(self.first_of_doc[seed], self.first_of_doc[seed + 1])
-        weights = self.weights[own]
-        if len(weights) > QUERY_TERMS:
-            top = np.argpartition(-weights, QUERY_TERMS)[:QUERY_TERMS]
-        else:
-            top = np.arange(len(weights))
         score = np.zeros(self.n)
-        for low, high in zip(self.low[own][top].tolist(), self.high[own][top].tolist(), strict=True):
+        for low, high in zip(self.low[own].tolist(), self.high[own].tolist(), strict=True):
             score[self.docs[low:high]] += self.posted[low:high]
         score[used] = 0
         found = np.flatnonzero(score)
@@ -262,30 +310,24 @@ def pack(
     """
     path = vocabulary or vocabulary_path()
     rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sent = documents.sparkSession.sparkContext.broadcast(statistics(rows))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        stats, encode = sent.value, encoder(path).encode
-        idf, end = stats.idf(), np.array([end_id], "<u4").tobytes()
-        sequence = TaskContext.get().partitionId() << 40
-        ids, tokens, terms, size = [], [], [], 0
-        for part in W.slices(batches):
-            shown = [own + end for own in encode(part.column("text").to_pylist())]
-            for doc_id, own, kinds in zip(part.column("doc_id").to_pylist(), shown, _terms(part), strict=True):
-                if ids and size + len(own) // 4 > shard_tokens:
-                    out, sequence = _shard(ids, tokens, terms, stats, idf, window, sequence, with_ids)
-                    yield out
-                    ids, tokens, terms, size = [], [], [], 0
-                ids.append(doc_id)
-                tokens.append(own)
-                terms.append(kinds)
-                size += len(own) // 4
-        if ids:
-            yield _shard(ids, tokens, terms, stats, idf, window, sequence, with_ids)[0]
-
-    return rows.mapInArrow(run, PIECES + (", ids array<int>" if with_ids else ""))
+    sharded = stage(assign_shards(rows, BYTES_A_TOKEN * shard_tokens), "packing")
+    n_docs, mean_words = totals(sharded)
+
+    def run(docs: pa.Table, found: pa.Table) -> pa.Table:
+        encode, end = encoder(path).encode, np.array([end_id], "<u4").tobytes()
+        kinds, n = (found.column(c).to_numpy() for c in ("kind", "n"))
+        order = np.argsort(kinds)
+        stats = Statistics(n_docs, mean_words, kinds[order], n[order])
+        docs = docs.sort_by("place")
+        tokens, terms = [], []
+        for part in W.slices(docs.select(["text"]).to_batches()):
+            tokens += [own + end for own in encode(part.column("text").to_pylist())]
+            terms += _terms(part)
+        shard = docs.column("shard")[0].as_py()
+        return pa.Table.from_batches([_shard(docs.column("doc_id").to_pylist(), tokens, terms, stats, stats.idf(), window, shard, with_ids)[0]])
+
+    texts = sharded.select("shard", "place", "doc_id", "text").groupBy("shard")
+    return texts.cogroup(frequencies(sharded).groupBy("shard")).applyInArrow(run, PIECES + (", ids array<int>" if with_ids else ""))
 
 
 def _shard(ids: list, tokens: list[bytes], terms: list, stats: Statistics, idf: np.ndarray, window: int, sequence: int, with_ids: bool) -> tuple[pa.RecordBatch, int]:
