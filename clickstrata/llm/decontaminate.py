@@ -9,8 +9,8 @@ a shingle at place ``k`` of its window fixes where the window would have to
 begin, which the bounds of position (not before the text) and length (not past
 its end) test before the words themselves are compared.
 
-The benchmark goes to the executors in blocks of at most ``block_bytes`` of
-text, whatever its size; there is one pass over the documents per block, and
+The benchmark's different rows are dealt by hash to blocks of ``block_bytes`` of
+text in the mean (a block holds one item's text at least), whatever its size; there is one pass over the documents per block, and
 the rows carry what earlier blocks found.
 
 Words: A-Z lower-cased, ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+``, compared by 64-bit hashes.
@@ -234,6 +234,7 @@ def find_passages(
         F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"),
         F.coalesce(F.col(item_text_col), F.lit("")).alias("text"),
     )
+    items = stage(items.distinct(), "benchmark")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = max(1, -(-size // block_bytes))
     rows = documents.select(
