@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clickstrata import schema
 from clickstrata.operators.curves import (
+    MAX_POINTS,
     average_precision,
     curve_arrays,
     pr_curve,
@@ -59,14 +60,17 @@ def _listed(df: DataFrame, by: Sequence[str], name: str, order: str) -> DataFram
     return df.groupBy(*by).agg(rows.alias(name))
 
 
-def evaluate(scores: DataFrame, by: Sequence[str]) -> DataFrame:
-    """One row per score set with its metrics and curves; all sets go through each pass together."""
+def evaluate(scores: DataFrame, by: Sequence[str], max_points: int = MAX_POINTS) -> DataFrame:
+    """One row per score set with its metrics and curves; all sets go through each pass together.
+
+    ``max_points`` bounds the points of each curve in these rows only; the metrics come from all steps.
+    """
     by = list(by)
     scores = stage(scores, "scores")
     ranked = rank_scores(scores, by)
     steps = score_steps(scores, by)
-    pr = curve_arrays(thin_curve(pr_curve(steps, by)), "recall", "precision", by)
-    roc = curve_arrays(thin_curve(roc_curve(steps, by)), "fpr", "tpr", by)
+    pr = curve_arrays(thin_curve(pr_curve(steps, by), max_points), "recall", "precision", by)
+    roc = curve_arrays(thin_curve(roc_curve(steps, by), max_points), "fpr", "tpr", by)
     confusion = F.array(
         F.array("true_negatives", "false_positives"), F.array("false_negatives", "true_positives")
     )
@@ -120,6 +124,16 @@ def model_report(
     )
 
 
+def held_out_scores(split: DataFrame, logistic: PipelineModel, gbt: PipelineModel) -> DataFrame:
+    """Scores of both models for all sessions outside of the training part, with columns ``model`` and ``split``."""
+    held_out = split.where(F.col("split") != SPLITS[0])
+    sets = [
+        score_table(score_sessions(model, held_out, ["split"]), keep=["split"]).withColumn("model", F.lit(name))
+        for name, model in (("logistic_regression", logistic), ("boosted_trees", gbt))
+    ]
+    return sets[0].unionByName(sets[1])
+
+
 def fit_and_report(
     features: DataFrame,
     events: DataFrame,
@@ -128,20 +142,19 @@ def fit_and_report(
     logistic_iter: int = 250,
     gbt_iter: int = 300,
     min_rows_per_leaf: int = 100,
+    max_points: int = MAX_POINTS,
 ) -> tuple[PipelineModel, PipelineModel, DataFrame, DataFrame]:
-    """(logistic model, boosted trees, scores of all sessions, report) from a stored feature table."""
+    """(logistic model, boosted trees, scores of all sessions, report) from a stored feature table.
+
+    ``max_points`` is the length of the report's curve arrays at most; :func:`run_modelling` stores the full curves.
+    """
     split = assign_split(features, time_split(features))
     train, validation = (split.where(F.col("split") == name) for name in SPLITS[:2])
     sample = stage(cap_sample(train, "session_id", max_rows), "sample")
     logistic = train_logistic(sample, max_iter=logistic_iter)
     gbt = train_gbt(train, validation, max_iter=gbt_iter, min_rows_per_leaf=min_rows_per_leaf)
 
-    held_out = split.where(F.col("split") != SPLITS[0])
-    sets = [
-        score_table(score_sessions(model, held_out, ["split"]), keep=["split"]).withColumn("model", F.lit(name))
-        for name, model in (("logistic_regression", logistic), ("boosted_trees", gbt))
-    ]
-    evaluation = evaluate(sets[0].unionByName(sets[1]), ["model", "split"])
+    evaluation = evaluate(held_out_scores(split, logistic, gbt), ["model", "split"], max_points)
     scored = stage(score_sessions(gbt, features), "all_scores")
     report = model_report(
         split,
@@ -157,7 +170,7 @@ def fit_and_report(
 
 
 def run_modelling(spark: SparkSession, root: str, **settings: int) -> DataFrame:
-    """Stores features, scores, enhanced readout, report and both models below ``root``."""
+    """Stores features, scores, full curves by model and split, enhanced readout, report and both models below ``root``."""
     root = root.rstrip("/")
     events = read_layer(spark, root, "fact_events")
     features = session_features(read_layer(spark, root, "fact_sessions"), events)
@@ -165,6 +178,11 @@ def run_modelling(spark: SparkSession, root: str, **settings: int) -> DataFrame:
     features = read_layer(spark, root, "ml_session_dataset")
     logistic, gbt, scored, report = fit_and_report(features, events, **settings)
     export_parquet(as_exported(scored), layer_path(root, "ml_session_scores"))
+    by = ["model", "split"]
+    held_out = held_out_scores(assign_split(features, time_split(features)), logistic, gbt)
+    steps = score_steps(stage(held_out, "scores"), by)
+    for name, curve in (("ml_pr_curve", pr_curve), ("ml_roc_curve", roc_curve)):
+        export_parquet(curve(steps, by), layer_path(root, name))
     export_parquet(experiment_readout_enhanced(events), layer_path(root, "experiment_readout_enhanced"))
     write_report(report, f"{root}/reports/ml_metrics")
     logistic.write().overwrite().save(f"{root}/models/session_logistic_regression")

@@ -22,6 +22,8 @@ LAYERS = {
     "experiment_readout_enhanced": "gold/experiment_readout_enhanced",
     "ml_session_dataset": "gold/ml_session_dataset",
     "ml_session_scores": "gold/ml_session_scores",
+    "ml_pr_curve": "gold/ml_pr_curve",
+    "ml_roc_curve": "gold/ml_roc_curve",
 }
 VIEWS = ("fact_events", "fact_sessions", "funnel_daily", "user_daily", "product_daily")
 GOLD_TABLES = ("product_daily", "user_daily", "funnel_daily")
