@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, jaccard, language, licenses, neighbours, packing, pages, secrets, urls
+from . import alignment, chat, decontaminate, filter_audit, jaccard, language, licenses, neighbours, packing, pages, secrets, token_files, urls
 
 # The rules, the extra conversation and the tables are what the queries' contract names.
 URL_RULES = (
@@ -69,6 +69,18 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan_licenses(_table(spark, folder, "documents"))
 
 
+def op11_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align_corpus(_table(spark, folder, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(filter_audit.document_masks(_table(spark, folder, "documents"), _table(spark, folder, "labels")))
+
+
+def op13_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.round_trip(_table(spark, folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -82,6 +94,9 @@ QUERIES = {
         op8_packing,
         op9_decontamination,
         op10_license_scan,
+        op11_tokenizer_alignment,
+        op12_filter_audit,
+        op13_token_files,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op12_filter_audit": filter_audit.AUDIT_SQL}
