@@ -44,6 +44,7 @@ VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
 BLOCK_IDS = 4096
 FILE_IDS = 1 << 23
+READ_IDS = 1 << 20
 HEADER = struct.Struct("<8q")
 MARK = int.from_bytes(b"TOKBITS1", "little")
 
@@ -218,8 +219,13 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = False) ->
         for batch in batches:
             for content in batch.column("content"):
                 file = TokenFile(io.BytesIO(content.as_buffer()))
-                for low in range(0, len(file.doc_ids), 2048):
-                    yield _documents(file, low, min(low + 2048, len(file.doc_ids)), with_ids)
+                low = 0
+                while low < len(file.doc_ids):
+                    # Documents of about so many ids together, one at least.
+                    before = int(file.ends[low - 1]) if low else 0
+                    high = max(low + 1, int(np.searchsorted(file.ends, before + READ_IDS, side="right")))
+                    yield _documents(file, low, high, with_ids)
+                    low = high
 
     # A writer without rows leaves a file without bytes.
     files = spark.read.format("binaryFile").load(path).where("length > 0").select("content")
@@ -229,7 +235,8 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = False) ->
 def _documents(file: TokenFile, low: int, high: int, with_ids: bool) -> pa.RecordBatch:
     ends = file.ends[low:high]
     begins = np.concatenate([[file.ends[low - 1] if low else 0], ends[:-1]])
-    ids = [file.ids(a, b) for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
+    every = file.ids(int(begins[0]), int(ends[-1]))
+    ids = [every[a:b] for a, b in zip((begins - begins[0]).tolist(), (ends - begins[0]).tolist(), strict=True)]
     columns = [
         pa.array(np.full(len(ends), file.place)),
         pa.array(np.full(len(ends), file.number)),

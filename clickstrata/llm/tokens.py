@@ -16,8 +16,9 @@ from collections.abc import Iterator
 import numpy as np
 
 SEGMENT = 1 << 20  # characters of a text that are split at a time
-KEPT = 400_000  # chunks at most that a Python worker remembers, each of at most
+KEPT = 900_000  # chunks at most that a Python worker remembers, each of at most
 LONGEST_KEPT = 64  # characters
+LAST_LATIN = "\u024f"  # up to here all libraries agree on what is a letter
 JOINED = 1 << 15  # characters that are given to a tokenizer at a time
 
 _TOUCHING = re.compile(r"\s[ \n]")
@@ -91,7 +92,8 @@ class ByteTokenizer:
             raise ValueError("added tokens must be plain strings, and each byte must have a token")
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self._space = next(c for c, b in alphabet.items() if b == 0x20)
+        self._characters = {b: c for c, b in alphabet.items()}
+        self._space = self._characters[0x20]
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.bytes: list[bytes] = [b""] * self.size
@@ -114,9 +116,11 @@ class ByteTokenizer:
     def encode_one(self, chunk: str) -> list[int]:
         """The ids of a chunk. Letters after a space or nothing are one word of the model, which takes less time alone."""
         word = chunk[1:] if chunk[0] == " " else chunk
-        if word.isascii() and word.isalpha():
-            return [t.id for t in self.tokenizer.model.tokenize(self._space + word if chunk[0] == " " else word)]
-        return self.tokenizer.encode(chunk, add_special_tokens=False).ids
+        if not word.isalpha() or max(word) > LAST_LATIN:
+            return self.tokenizer.encode(chunk, add_special_tokens=False).ids
+        if not word.isascii():
+            word = "".join(map(self._characters.__getitem__, word.encode()))
+        return [t.id for t in self.tokenizer.model.tokenize(self._space + word if chunk[0] == " " else word)]
 
     def encode_chunks(self, own: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all chunks one after the other, how many ids there are up to each chunk's end)."""
