@@ -6,10 +6,10 @@ mapped to the raw feed's columns, and runs the layers it needs.
 
 from __future__ import annotations
 
-import importlib.util
 import sys
 import tempfile
 from collections.abc import Callable
+from datetime import date
 from functools import cache
 from pathlib import Path
 
@@ -21,6 +21,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from clickstrata import functions as fn  # noqa: E402
 from clickstrata import schema  # noqa: E402
 from clickstrata.operators import (  # noqa: E402
+    boosting,
     bronze,
     cohorts,
     curves,
@@ -28,19 +29,22 @@ from clickstrata.operators import (  # noqa: E402
     features,
     funnel,
     gold,
+    model_tables,
     models,
     quality,
     ranking,
     reporting,
+    reweighted,
     sampling,
     sessions,
     silver,
 )
-from clickstrata.plans import modelling  # noqa: E402
+from clickstrata.plans import lakehouse, modelling  # noqa: E402
 from clickstrata.session import apply_settings  # noqa: E402
 from clickstrata.sources import (  # noqa: E402
     build_mart,
     export_parquet,
+    read_layer,
     read_raw_csv,
     read_table,
     register_views,
@@ -53,6 +57,7 @@ from clickstrata.sources import scratch  # noqa: E402
 from clickstrata.sources.files import layer_path  # noqa: E402
 from clickstrata.sources.sample_feed import raw_events, synthetic_scores  # noqa: E402
 
+import expected_models  # noqa: E402
 from expected_sql import EXPECTED  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -204,6 +209,50 @@ def sink_dynamic_overwrite(spark, sf_dir):
     return spark.read.parquet(path).select(days.columns)
 
 
+# The feed's days four days apart, so that it spans four months and sessions cross their ends; and a later delivery
+# of February and March in which some events are gone, some have moved and some cost more.
+STRETCHED = "date_format(try_to_timestamp(replace(event_time, ' UTC'), 'yyyy-MM-dd HH:mm:ss') + make_dt_interval(3 * cast(substr(event_time, 9, 2) AS int)), 'yyyy-MM-dd HH:mm:ss') || ' UTC'"
+REVISED = "CASE WHEN product_id % 7 <> 3 OR event_type NOT IN ('view', 'VIEW') THEN user_session ELSE 'moved' END"
+
+
+def _stretched(spark, sf_dir, revised):
+    stretched = F.when(F.col("event_time") != "not-a-time", F.expr(STRETCHED)).otherwise(F.col("event_time"))
+    feed = _raw(spark, sf_dir).withColumn("event_time", stretched)
+    if not revised:
+        return feed
+    changed = feed.where("event_time LIKE '2024-02-%' AND NOT (user_id <=> 3) AND NOT product_id % 11 <=> 4")
+    changed = changed.withColumns({"user_session": F.expr(REVISED), "price": F.col("price") + 5})
+    return changed.unionByName(feed.where("event_time LIKE '2024-03-%' AND event_type = 'remove_from_cart'"))
+
+
+@cache
+def _renewed_lake(application, spark, sf_dir):
+    """All layers of the stretched feed, then a bounded run over the revised February and a March without known events."""
+    root = scratch_path(spark, "lake")
+    lakehouse.run_lakehouse(spark, _stretched(spark, sf_dir, False), root)
+    lakehouse.run_lakehouse(spark, _stretched(spark, sf_dir, True), root, date(2024, 2, 1), date(2024, 3, 31))
+    return root
+
+
+def _renewed(spark, sf_dir, name):
+    return read_layer(spark, _renewed_lake(spark.sparkContext.applicationId, spark, sf_dir), name)
+
+
+@query
+def rerun_months_sessions(spark, sf_dir):
+    return _renewed(spark, sf_dir, "fact_sessions").select(*schema.FACT_SESSION_COLUMNS)
+
+
+@query
+def rerun_months_user_daily(spark, sf_dir):
+    return _renewed(spark, sf_dir, "user_daily")
+
+
+@query
+def rerun_months_funnel_daily(spark, sf_dir):
+    return _renewed(spark, sf_dir, "funnel_daily")
+
+
 @query
 def sink_zstd_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "retention")
@@ -214,7 +263,7 @@ def sink_zstd_roundtrip(spark, sf_dir):
 @query
 def sink_json_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "report")
-    write_report(quality.quality_events(_events(spark, sf_dir)), path)
+    write_report(quality.quality_events(_stored_events(spark, sf_dir)), path)
     report = spark.read.json(path)
     entry_json = F.transform("event_type_distribution", lambda e: F.struct(e["event_type"], e["count"]))
     return report.select(
@@ -440,13 +489,13 @@ def quality_bronze(spark, sf_dir):
 
 @query
 def quality_events(spark, sf_dir):
-    report = quality.quality_events(_events(spark, sf_dir))
+    report = quality.quality_events(_stored_events(spark, sf_dir))
     return report.withColumn("event_type_distribution", F.to_json("event_type_distribution"))
 
 
 @query
 def quality_sessions(spark, sf_dir):
-    report = quality.quality_sessions(_sessions(spark, sf_dir))
+    report = quality.quality_sessions(_stored_sessions(spark, sf_dir))
     return report.withColumn("funnel_flag_distribution", F.to_json("funnel_flag_distribution"))
 
 
@@ -598,49 +647,109 @@ def score_histogram(spark, sf_dir):
     return reporting.score_histogram(synthetic_scores(_stored_sessions(spark, sf_dir)))
 
 
-# ---- models (row counts only) ---------------------------------------------
+# ---- models ---------------------------------------------------------------
 
 
 def _model_table(spark, sf_dir):
     return features.assign_split(stage(_features(spark, sf_dir), "features"))
 
 
-def _boosted(spark, sf_dir):
-    table = _model_table(spark, sf_dir)
-    train, validation = (table.where(F.col("split") == name) for name in features.SPLITS[:2])
-    return table, models.train_gbt(train, validation)
+def _part(table, split):
+    return table.where(F.col("split") == split)
+
+
+def _logistic(table):
+    train = sampling.cap_sample(_part(table, features.SPLITS[0]), "session_id")
+    return reweighted.train_reweighted(stage(train, "sample"))
 
 
 @query
 def logistic_scores(spark, sf_dir):
     table = _model_table(spark, sf_dir)
-    train = sampling.cap_sample(table.where("split = 'train'"), "session_id")
-    return models.score_sessions(models.train_logistic(stage(train, "sample")), table)
+    return _logistic(table).scores(table)
+
+
+@query
+def logistic_coefficients(spark, sf_dir):
+    return _logistic(_model_table(spark, sf_dir)).table()
+
+
+@query
+def gbt_bin_edges(spark, sf_dir):
+    return boosting.bin_edges(_part(_model_table(spark, sf_dir), features.SPLITS[0]))
+
+
+def _boosted(spark, sf_dir, **settings):
+    """With the library's settings, which stop on the validation part."""
+    table = _model_table(spark, sf_dir)
+    train, validation = (_part(table, name) for name in features.SPLITS[:2])
+    return table, boosting.train_boosted(train, validation, **settings)
+
+
+@query
+def gbt_nodes(spark, sf_dir):
+    return _boosted(spark, sf_dir)[1].table()
 
 
 @query
 def gbt_scores(spark, sf_dir):
+    """Scored from the model as it is stored."""
     table, model = _boosted(spark, sf_dir)
-    return models.score_sessions(model, table)
+    path = scratch_path(spark, "model")
+    model.save(path)
+    return model_tables.TreeModel.load(spark, path, schema.FEATURES).scores(table)
 
 
 @query
 def feature_importance(spark, sf_dir):
-    table, model = _boosted(spark, sf_dir)
-    return models.top_importance(models.feature_importance(model, table), 12)
+    return models.top_importance(_boosted(spark, sf_dir)[1].importance(), 12)
 
 
 @query
 def score_summary(spark, sf_dir):
     table, model = _boosted(spark, sf_dir)
-    return models.score_summary(models.score_sessions(model, table))
+    return models.score_summary(model.scores(table))
+
+
+# The same with a few rounds of small trees, which SQL can write out: fitted and scored on the whole tables.
+
+
+def _few_rounds(spark, sf_dir):
+    table = _model_table(spark, sf_dir)
+    train = _part(table, features.SPLITS[0])
+    few = dict(rounds=expected_models.ROUNDS, leaves=expected_models.LEAVES, least_rows=expected_models.LEAST_ROWS)
+    return table, boosting.train_boosted(train, **few)
+
+
+@query
+def gbt_rounds_nodes(spark, sf_dir):
+    return _few_rounds(spark, sf_dir)[1].table()
+
+
+@query
+def gbt_rounds_scores(spark, sf_dir):
+    table, model = _few_rounds(spark, sf_dir)
+    path = scratch_path(spark, "model")
+    model.save(path)
+    return model_tables.TreeModel.load(spark, path, schema.FEATURES).scores(table)
+
+
+@query
+def gbt_rounds_summary(spark, sf_dir):
+    table, model = _few_rounds(spark, sf_dir)
+    return models.score_summary(model.walked_scores(table))
+
+
+@query
+def gbt_rounds_importance(spark, sf_dir):
+    return models.top_importance(_few_rounds(spark, sf_dir)[1].importance(), 12)
 
 
 @query
 def model_report(spark, sf_dir):
     events = _stored_events(spark, sf_dir)
     table = stage(features.session_features(sessions.build_sessions(events), events), "features")
-    report = modelling.fit_and_report(table, events)[-1]
+    report = modelling.fit_and_report(table, events).report
     return report.select(*[F.to_json(c).alias(c) if c != "best_iteration" else c for c in report.columns])
 
 
@@ -653,18 +762,20 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def _text_queries() -> tuple[dict[str, Query], dict[str, str]]:
-    """Queries and SQL of the subpackage ``llm`` and of the pipeline, where they are installed."""
-    found, sql = {}, {}
-    if importlib.util.find_spec("clickstrata.llm"):
+    """Queries and SQL of the subpackage ``llm`` and of the pipeline, where they can be imported."""
+    try:
         from clickstrata.llm.queries import ORACLES, QUERIES
-
-        found, sql = found | QUERIES, sql | ORACLES
-        if importlib.util.find_spec("corpus_pipeline"):
-            import corpus_pipeline
-
-            found["pipeline"] = corpus_pipeline.run
-            if corpus_pipeline.ORACLE_SQL:
-                sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    except ImportError:
+        return {}, {}
+    found, sql = dict(QUERIES), dict(ORACLES)
+    try:
+        import corpus_pipeline
+    except ImportError:
+        pass
+    else:
+        found["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
     return {name: _prepared(build) for name, build in found.items()}, sql
 
 

@@ -13,14 +13,24 @@ SPLITS = ("train", "validation", "test")
 
 
 def session_event_features(events: DataFrame) -> DataFrame:
-    """Distinct viewed products, distinct categories, mean and top view price per session."""
+    """Distinct viewed products, distinct categories, mean and top view price per session.
+
+    Events are first grouped by session, viewed product and category, map-side too. The two
+    distinct counts, which copy their input rows, then see these groups and not the events.
+    """
     is_view = F.col("event_type") == "view"
     view_price = F.when(is_view, F.col("price"))
-    per_session = events.groupBy("user_id", session_label().alias("_label")).agg(
-        F.count_distinct(F.when(is_view, F.col("product_id"))).cast("double").alias("distinct_products_viewed"),
-        F.count_distinct(category_key()).cast("double").alias("distinct_categories"),
-        F.avg(view_price).alias("avg_view_price"),
-        F.max(view_price).alias("max_view_price"),
+    seen = events.groupBy(
+        "user_id",
+        session_label().alias("_label"),
+        F.when(is_view, F.col("product_id")).alias("_product"),
+        category_key().alias("_category"),
+    ).agg(F.sum(view_price).alias("_total"), F.count(view_price).alias("_priced"), F.max(view_price).alias("_top"))
+    per_session = seen.groupBy("user_id", "_label").agg(
+        F.count_distinct("_product").cast("double").alias("distinct_products_viewed"),
+        F.count_distinct("_category").cast("double").alias("distinct_categories"),
+        F.try_divide(F.sum("_total"), F.sum("_priced")).alias("avg_view_price"),
+        F.max("_top").alias("max_view_price"),
     )
     return per_session.withColumn("session_id", session_key(label="_label")).drop("user_id", "_label")
 

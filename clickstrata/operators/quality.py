@@ -1,13 +1,11 @@
-"""Counts and rates that describe a layer. Each report is one aggregation pass."""
+"""Counts and rates that describe a layer."""
 
 from collections.abc import Sequence
-from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickstrata import schema
-from clickstrata.functions import event_count
 
 STAGES = schema.EVENT_TYPES
 
@@ -65,37 +63,41 @@ def quality_bronze(bronze: DataFrame) -> DataFrame:
     return bronze.agg(F.count("*").alias("rows"))
 
 
-def _ranked(entries: list[Column]) -> Column:
-    """The entries with rows, most frequent first; stable, so ties keep the given order."""
-    found = F.filter(F.array(*entries), lambda e: e["count"] > 0)
-    return F.array_sort(found, lambda a, b: F.signum(b["count"] - a["count"]).cast("int"))
+def _listed(counted: DataFrame, order: Sequence[Column]) -> Column:
+    """The rows of a small table as one array of structs, as a scalar subquery."""
+    fields = counted.columns
+    ordered = F.sort_array(F.collect_list(F.struct(*[c.alias(f"_{k}") for k, c in enumerate(order)], F.struct(*fields).alias("entry"))))
+    return counted.agg(ordered["entry"].alias("entries")).scalar()
+
+
+def _distinct(df: DataFrame, column: str) -> Column:
+    # Grouped, as Spark would merge several distinct counts into one aggregate that copies every row once for each.
+    return df.where(F.col(column).isNotNull()).select(column).distinct().agg(F.count("*")).scalar()
 
 
 def quality_events(events: DataFrame) -> DataFrame:
-    """One row: rows, distinct users, distinct products, distribution of the event types."""
-    types = [
-        F.struct(F.lit(kind).alias("event_type"), F.col(f"_{kind}").alias("count"))
-        for kind in sorted(schema.EVENT_TYPES)
-    ]
-    return events.agg(
-        F.count("*").alias("rows"),
-        F.count_distinct("user_id").alias("distinct_users"),
-        F.count_distinct("product_id").alias("distinct_products"),
-        *[event_count(kind).alias(f"_{kind}") for kind in schema.EVENT_TYPES],
-    ).select("rows", "distinct_users", "distinct_products", _ranked(types).alias("event_type_distribution"))
+    """One row: rows, distinct users, distinct products, distribution of the event types that there are.
+
+    Three scans of one column each; hand in a stored table.
+    """
+    types = events.groupBy("event_type").agg(F.count("*").alias("count"))
+    # NULL, if there is one, comes last among equals.
+    order = [-F.col("count"), F.col("event_type").isNull(), F.col("event_type")]
+    return events.agg(F.count("*").alias("rows")).select(
+        "rows",
+        _distinct(events, "user_id").alias("distinct_users"),
+        _distinct(events, "product_id").alias("distinct_products"),
+        F.coalesce(_listed(types, order), F.array().cast("array<struct<event_type:string,count:bigint>>")).alias("event_type_distribution"),
+    )
 
 
 def quality_sessions(sessions: DataFrame) -> DataFrame:
-    """One row: sessions, distinct users, distribution of the stages reached."""
-    counts, entries = [], []
-    for combination in product((False, True), repeat=len(STAGES)):
-        name = "_" + "".join(str(int(reached)) for reached in combination)
-        hit = F.lit(True)
-        for stage, reached in zip(STAGES, combination):
-            hit = hit & (F.col(f"has_{stage}") == int(reached))
-        counts.append(F.count_if(hit).alias(name))
-        flags = [F.lit(reached).alias(stage) for stage, reached in zip(STAGES, combination)]
-        entries.append(F.struct(*flags, F.col(name).alias("count")))
-    return sessions.agg(
-        F.count("*").alias("sessions"), F.count_distinct("user_id").alias("distinct_users"), *counts
-    ).select("sessions", "distinct_users", _ranked(entries).alias("funnel_flag_distribution"))
+    """One row: sessions, distinct users, distribution of the stages reached, whatever values the flags have."""
+    flags = [(F.col(f"has_{stage}") == 1).alias(stage) for stage in STAGES]
+    counted = sessions.groupBy(*flags).agg(F.count("*").alias("count"))
+    kind = f"array<struct<{','.join(f'{stage}:boolean' for stage in STAGES)},count:bigint>>"
+    return sessions.agg(F.count("*").alias("sessions")).select(
+        "sessions",
+        _distinct(sessions, "user_id").alias("distinct_users"),
+        F.coalesce(_listed(counted, [-F.col("count"), *map(F.col, STAGES)]), F.array().cast(kind)).alias("funnel_flag_distribution"),
+    )

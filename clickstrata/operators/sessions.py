@@ -39,3 +39,36 @@ def session_flags(sessions: DataFrame) -> DataFrame:
 def build_sessions(events: DataFrame) -> DataFrame:
     """The ``fact_sessions`` layer. A user's events without a session form one session."""
     return session_flags(session_aggregates(events)).select(*schema.FACT_SESSION_COLUMNS)
+
+
+def session_ids(events: DataFrame) -> DataFrame:
+    """(user_id, session_id) of the sessions that events belong to; a digest for each session, not for each event."""
+    labels = events.select("user_id", session_label().alias("_label")).distinct()
+    return labels.select("user_id", session_key(label="_label").alias("session_id"))
+
+
+def reaching_sessions(sessions: DataFrame, first: int, last: int, ids: DataFrame) -> DataFrame:
+    """Stored sessions that new events of the numbered months ``first`` to ``last`` can change.
+
+    These are the sessions that began in or before ``last`` and ended in or after ``first``, which may have
+    lost events, and those among ``ids``, the sessions that have events there now, wherever they lay before.
+    """
+    ended = F.year("session_end_ts") * 12 + F.month("session_end_ts")
+    overlaps = (F.col("year") * 12 + F.col("month") <= last) & (ended >= first)
+    marked = ids.select("session_id", F.lit(True).alias("_has_events"))
+    found = sessions.select("session_id", "user_id", "session_end_ts", "year", "month").join(marked, "session_id", "left")
+    return found.where(overlaps | F.col("_has_events")).drop("_has_events")
+
+
+def session_months(sessions: DataFrame) -> list[int]:
+    """The numbered months between start and end of each session; the calendar bounds how many there are."""
+    ended = F.year("session_end_ts") * 12 + F.month("session_end_ts")
+    months = sessions.select(F.explode(F.sequence(F.col("year") * 12 + F.col("month"), ended)).alias("month"))
+    return sorted(row["month"] for row in months.distinct().collect())
+
+
+def rebuild_sessions(events: DataFrame, ids: DataFrame) -> DataFrame:
+    """The sessions named by (user_id, session_id), from events among which are all of theirs."""
+    # By user first: most events of others go before any digest is taken.
+    theirs = events.join(ids.select("user_id").distinct(), "user_id", "left_semi")
+    return build_sessions(theirs).join(ids, ["user_id", "session_id"], "left_semi").select(*schema.FACT_SESSION_COLUMNS)

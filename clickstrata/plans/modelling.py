@@ -1,13 +1,15 @@
 """Feature table to models, scores and the model report."""
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from datetime import date
 from functools import reduce
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickstrata import schema
+from clickstrata.operators.boosting import train_boosted
 from clickstrata.operators.curves import (
     MAX_POINTS,
     average_precision,
@@ -27,14 +29,8 @@ from clickstrata.operators.features import (
     split_counts,
     time_split,
 )
-from clickstrata.operators.models import (
-    as_exported,
-    feature_importance,
-    score_sessions,
-    score_summary,
-    train_gbt,
-    train_logistic,
-)
+from clickstrata.operators.model_tables import LogisticModel, TreeModel
+from clickstrata.operators.models import as_exported, score_summary
 from clickstrata.operators.ranking import (
     calibration_curve,
     lift_curve,
@@ -43,12 +39,14 @@ from clickstrata.operators.ranking import (
     score_table,
     threshold_metrics,
 )
+from clickstrata.operators.reweighted import train_reweighted
 from clickstrata.operators.sampling import cap_sample, sample_summary
 from clickstrata.sources import (
     export_parquet,
     layer_path,
     read_layer,
     stage,
+    write_layer,
     write_report,
 )
 
@@ -60,17 +58,34 @@ def _listed(df: DataFrame, by: Sequence[str], name: str, order: str) -> DataFram
     return df.groupBy(*by).agg(rows.alias(name))
 
 
-def evaluate(scores: DataFrame, by: Sequence[str], max_points: int = MAX_POINTS) -> DataFrame:
+@dataclass
+class Curves:
+    """The whole curves of score sets, and the steps they come from; stored."""
+
+    steps: DataFrame
+    pr: DataFrame
+    roc: DataFrame
+
+
+def whole_curves(scores: DataFrame, by: Sequence[str]) -> Curves:
+    """Sorts the scores once for both curves."""
+    steps = score_steps(scores, by)
+    return Curves(steps, stage(pr_curve(steps, by), "pr_curve"), stage(roc_curve(steps, by), "roc_curve"))
+
+
+def evaluate(scores: DataFrame, by: Sequence[str], max_points: int = MAX_POINTS, curves: Curves | None = None) -> DataFrame:
     """One row per score set with its metrics and curves; all sets go through each pass together.
 
     ``max_points`` bounds the points of each curve in these rows only; the metrics come from all steps.
+    With ``curves``, those of the scores, ``scores`` is a stored table.
     """
     by = list(by)
-    scores = stage(scores, "scores")
-    ranked = rank_scores(scores, by)
-    steps = score_steps(scores, by)
-    pr = curve_arrays(thin_curve(pr_curve(steps, by), max_points), "recall", "precision", by)
-    roc = curve_arrays(thin_curve(roc_curve(steps, by), max_points), "fpr", "tpr", by)
+    if curves is None:
+        scores = stage(scores, "scores")
+        curves = whole_curves(scores, by)
+    ranked, steps = rank_scores(scores, by), curves.steps
+    pr = curve_arrays(thin_curve(curves.pr, max_points), "recall", "precision", by)
+    roc = curve_arrays(thin_curve(curves.roc, max_points), "fpr", "tpr", by)
     confusion = F.array(
         F.array("true_negatives", "false_positives"), F.array("false_negatives", "true_positives")
     )
@@ -124,67 +139,109 @@ def model_report(
     )
 
 
-def held_out_scores(split: DataFrame, logistic: PipelineModel, gbt: PipelineModel) -> DataFrame:
+@dataclass(frozen=True)
+class Cuts:
+    """The days that split a feature table, as values: filters on them reach the scan."""
+
+    train_end: date
+    validation_end: date
+
+    @classmethod
+    def of(cls, features: DataFrame) -> "Cuts":
+        row = time_split(features).first()
+        return cls(row["train_end"], row["validation_end"])
+
+    def part(self, features: DataFrame, split: str) -> DataFrame:
+        """The rows of a split. On a table stored by month the months outside of it are not read."""
+        spans = {
+            SPLITS[0]: (None, self.train_end),
+            SPLITS[1]: (self.train_end, self.validation_end),
+            SPLITS[2]: (self.validation_end, None),
+        }
+        after, until = spans[split]
+        day, monthly = F.col("session_date"), "month" in features.columns
+        month = (F.col("year") * 12 + F.col("month")) if monthly else None
+        if after is not None:
+            features = features.where(day > F.lit(after))
+            features = features.where(month >= after.year * 12 + after.month) if monthly else features
+        if until is not None:
+            features = features.where(day <= F.lit(until))
+            features = features.where(month <= until.year * 12 + until.month) if monthly else features
+        return features.withColumn("split", F.lit(split))
+
+
+def held_out_scores(features: DataFrame, cuts: Cuts, logistic: LogisticModel, boosted: TreeModel) -> DataFrame:
     """Scores of both models for all sessions outside of the training part, with columns ``model`` and ``split``."""
-    held_out = split.where(F.col("split") != SPLITS[0])
+    held_out = cuts.part(features, SPLITS[1]).unionByName(cuts.part(features, SPLITS[2]))
     sets = [
-        score_table(score_sessions(model, held_out, ["split"]), keep=["split"]).withColumn("model", F.lit(name))
-        for name, model in (("logistic_regression", logistic), ("boosted_trees", gbt))
+        score_table(model.scores(held_out, ["split"]), keep=["split"]).withColumn("model", F.lit(name))
+        for name, model in (("logistic_regression", logistic), ("boosted_trees", boosted))
     ]
     return sets[0].unionByName(sets[1])
 
 
+@dataclass
+class Fit:
+    """What a modelling run makes; tables are stored, but for the report."""
+
+    logistic: LogisticModel
+    boosted: TreeModel
+    scores: DataFrame
+    curves: Curves
+    experiment: DataFrame
+    report: DataFrame
+
+
 def fit_and_report(
     features: DataFrame,
     events: DataFrame,
     *,
     max_rows: int = 1_000_000,
-    logistic_iter: int = 250,
+    logistic_iter: int = 50,
     gbt_iter: int = 300,
     min_rows_per_leaf: int = 100,
     max_points: int = MAX_POINTS,
-) -> tuple[PipelineModel, PipelineModel, DataFrame, DataFrame]:
-    """(logistic model, boosted trees, scores of all sessions, report) from a stored feature table.
+) -> Fit:
+    """Models, scores of all sessions, whole curves, experiment readout and report from a stored feature table.
 
-    ``max_points`` is the length of the report's curve arrays at most; :func:`run_modelling` stores the full curves.
+    ``max_points`` is the length of the report's curve arrays at most; the curves of the result are whole.
     """
-    split = assign_split(features, time_split(features))
-    train, validation = (split.where(F.col("split") == name) for name in SPLITS[:2])
+    cuts, by = Cuts.of(features), ["model", "split"]
+    train = cuts.part(features, SPLITS[0])
     sample = stage(cap_sample(train, "session_id", max_rows), "sample")
-    logistic = train_logistic(sample, max_iter=logistic_iter)
-    gbt = train_gbt(train, validation, max_iter=gbt_iter, min_rows_per_leaf=min_rows_per_leaf)
+    logistic = train_reweighted(sample, max_rounds=logistic_iter)
+    boosted = train_boosted(train, cuts.part(features, SPLITS[1]), rounds=gbt_iter, least_rows=min_rows_per_leaf)
 
-    evaluation = evaluate(held_out_scores(split, logistic, gbt), ["model", "split"], max_points)
-    scored = stage(score_sessions(gbt, features), "all_scores")
+    held_out = stage(held_out_scores(features, cuts, logistic, boosted), "scores")
+    curves = whole_curves(held_out, by)
+    scored = stage(boosted.scores(features), "all_scores")
+    experiment = stage(experiment_readout_enhanced(events), "experiment")
     report = model_report(
-        split,
-        evaluation,
-        feature_importance(gbt, features),
+        assign_split(features, time_split(features)),
+        evaluate(held_out, by, max_points, curves),
+        boosted.importance(),
         sample_summary(sample, train),
         scored,
-        experiment_readout_enhanced(events),
-        gbt.stages[-1].getNumTrees,
+        experiment,
+        boosted.rounds,
         dict(max_rows=max_rows, logistic_iter=logistic_iter, gbt_iter=gbt_iter, min_rows_per_leaf=min_rows_per_leaf),
     )
-    return logistic, gbt, scored, report
+    return Fit(logistic, boosted, scored, curves, experiment, report)
 
 
 def run_modelling(spark: SparkSession, root: str, **settings: int) -> DataFrame:
-    """Stores features, scores, full curves by model and split, enhanced readout, report and both models below ``root``."""
+    """Stores features by month, scores, full curves by model and split, enhanced readout, report and both models below ``root``."""
     root = root.rstrip("/")
     events = read_layer(spark, root, "fact_events")
     features = session_features(read_layer(spark, root, "fact_sessions"), events)
-    export_parquet(features, layer_path(root, "ml_session_dataset"))
-    features = read_layer(spark, root, "ml_session_dataset")
-    logistic, gbt, scored, report = fit_and_report(features, events, **settings)
-    export_parquet(as_exported(scored), layer_path(root, "ml_session_scores"))
-    by = ["model", "split"]
-    held_out = held_out_scores(assign_split(features, time_split(features)), logistic, gbt)
-    steps = score_steps(stage(held_out, "scores"), by)
-    for name, curve in (("ml_pr_curve", pr_curve), ("ml_roc_curve", roc_curve)):
-        export_parquet(curve(steps, by), layer_path(root, name))
-    export_parquet(experiment_readout_enhanced(events), layer_path(root, "experiment_readout_enhanced"))
-    write_report(report, f"{root}/reports/ml_metrics")
-    logistic.write().overwrite().save(f"{root}/models/session_logistic_regression")
-    gbt.write().overwrite().save(f"{root}/models/session_boosted_trees")
+    by_month = features.withColumns({"year": F.year("session_date"), "month": F.month("session_date")})
+    write_layer(by_month, layer_path(root, "ml_session_dataset"), dynamic=False, rebalance=True)
+    fit = fit_and_report(read_layer(spark, root, "ml_session_dataset"), events, **settings)
+    export_parquet(as_exported(fit.scores), layer_path(root, "ml_session_scores"))
+    for name, curve in (("ml_pr_curve", fit.curves.pr), ("ml_roc_curve", fit.curves.roc)):
+        export_parquet(curve, layer_path(root, name))
+    export_parquet(fit.experiment, layer_path(root, "experiment_readout_enhanced"))
+    write_report(fit.report, f"{root}/reports/ml_metrics")
+    fit.logistic.save(f"{root}/models/session_logistic_regression")
+    fit.boosted.save(f"{root}/models/session_boosted_trees")
     return spark.read.json(f"{root}/reports/ml_metrics")

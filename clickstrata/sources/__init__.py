@@ -2,12 +2,16 @@ from clickstrata.sources.files import (
     build_mart,
     describe,
     export_parquet,
+    in_months,
+    layer_exists,
     layer_manifest,
     layer_path,
+    month_number,
     read_layer,
     read_raw_csv,
     read_table,
     register_views,
+    replace_months,
     write_layer,
     write_report,
 )
@@ -18,12 +22,16 @@ __all__ = [
     "clear_scratch",
     "describe",
     "export_parquet",
+    "in_months",
+    "layer_exists",
     "layer_manifest",
     "layer_path",
+    "month_number",
     "read_layer",
     "read_raw_csv",
     "read_table",
     "register_views",
+    "replace_months",
     "scratch_path",
     "stage",
     "write_layer",

@@ -3,10 +3,11 @@
 from collections.abc import Iterable, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickstrata import schema
+from clickstrata.sources.scratch import clear_scratch, scratch_path
 
 # Where each table of the lake sits below its root.
 LAYERS = {
@@ -61,6 +62,49 @@ def read_layer(
     return df
 
 
+def month_number(day: date) -> int:
+    """Months are counted from year 0, so that a span of months is a span of numbers."""
+    return day.year * 12 + day.month
+
+
+def in_months(months: Iterable[int]) -> Column:
+    """Whether a row's year and month are among the numbered months. Only columns of folder names are used, so others stay unread."""
+    return (F.col("year") * 12 + F.col("month")).isin(*sorted(set(months)))
+
+
+def layer_exists(spark: SparkSession, root: str, name: str) -> bool:
+    """Whether a layer has been written."""
+    path, file_system = _hadoop_path(spark, layer_path(root, name))
+    return file_system.exists(path)
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path, jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def replace_months(df: DataFrame, root: str, name: str, months: Iterable[int], rebalance: bool | int = True) -> list[int]:
+    """Makes ``df``, whose rows lie in the given months, all that a layer holds of these months. Returns those left empty.
+
+    ``df`` may read the layer itself: it is stored aside first. Months of ``df`` are overwritten by Spark's
+    dynamic partition overwrite; folders of months that have no rows any more are deleted after that.
+    """
+    spark = df.sparkSession
+    aside = scratch_path(spark, name)
+    df.write.parquet(aside)
+    rows = spark.read.schema(df.schema).parquet(aside)
+    filled = {r["year"] * 12 + r["month"] for r in rows.select("year", "month").distinct().collect()}
+    if filled:
+        write_layer(rows, layer_path(root, name), rebalance=rebalance)
+    empty = sorted(set(months) - filled)
+    for month in empty:
+        year, of_year = divmod(month - 1, 12)
+        path, file_system = _hadoop_path(spark, f"{layer_path(root, name)}/year={year}/month={of_year + 1}")
+        file_system.delete(path, True)
+    clear_scratch(spark, aside)
+    return empty
+
+
 def register_views(spark: SparkSession, root: str, names: Iterable[str] = VIEWS) -> dict[str, DataFrame]:
     """Temp views over the stored layers, for ``spark.sql`` users."""
     tables = {name: read_layer(spark, root, name) for name in names}

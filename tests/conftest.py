@@ -4,11 +4,10 @@ from pathlib import Path
 import pytest
 
 ROOT = Path(__file__).resolve().parents[1]
-sys.path.insert(0, str(ROOT))
+sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
 from clickstrata.session import build_session  # noqa: E402
-
-SF_DIR = "/root/testdata/sf0.001"
+from feeds import SF_DIR  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -1,0 +1,202 @@
+"""Boosted trees against a plain NumPy version, and scores from stored models."""
+
+import numpy as np
+import pandas as pd
+import pytest
+from boosting_reference import average_precision, boost, edges_of
+
+from clickstrata import schema
+from clickstrata.operators import boosting, model_tables, models, reweighted
+from clickstrata.sources import scratch_path
+
+FEATURES = schema.FEATURES
+
+
+def sessions(n, seed=3, split="train"):
+    """Feature rows with ties, few and many different values, and a label that leans on some of them."""
+    r = np.random.default_rng(seed)
+    table = {name: r.integers(0, 3 + 5 * k, n).astype(float) for k, name in enumerate(FEATURES)}
+    table["avg_view_price"] = np.round(r.gamma(2, 30, n), 2)
+    table["max_view_price"] = table["avg_view_price"] + r.integers(0, 4, n)
+    table["session_duration_s"] = r.integers(0, 90_000, n).astype(float)
+    odds = table["n_view"] / 4 + (table["avg_view_price"] > 60) - table["hour"] / 12 + (table["prior_sessions"] > 20) * (table["n_cart"] - 3) / 3
+    label = (r.random(n) < 1 / (1 + np.exp(1 - odds))).astype(int)
+    return pd.DataFrame({"session_id": [f"{split}{k:05d}" for k in range(n)], **table, "label": label})
+
+
+def frame(spark, table, parts=3):
+    kinds = "session_id string, " + ", ".join(f"{f} double" for f in FEATURES) + ", label int"
+    return spark.createDataFrame(table, kinds).repartition(parts)
+
+
+def by_tree(model):
+    found = {}
+    for tree, *node in model.nodes:
+        found.setdefault(tree, []).append(tuple(node))
+    return found
+
+
+def assert_same_trees(model, start, trees):
+    found = by_tree(model)
+    assert found.pop(0)[0][4] == pytest.approx(start, abs=1e-12)
+    assert len(found) == len(trees)
+    for number, tree in enumerate(trees, 1):
+        assert [(n, f, c, r) for n, f, c, _, _, r in found[number]] == [(n, f, c, r) for n, f, c, _, _, r in tree]
+        for (*_, gain, value, _), (*_, own_gain, own_value, _) in zip(found[number], tree):
+            assert (gain is None) == (own_gain is None) and (value is None) == (own_value is None)
+            assert gain is None or gain == pytest.approx(own_gain, rel=1e-9)
+            assert value is None or value == pytest.approx(own_value, rel=1e-9)
+
+
+SETTINGS = dict(rounds=6, leaves=63, rate=0.05, least_rows=25, l2=1.0, bins=40, columns=0.8, seed=42)
+
+
+def test_trees_equal_a_plain_version(spark):
+    table = sessions(2000)
+    model = boosting.train_boosted(frame(spark, table), **SETTINGS, stored_every=2)
+    x, y = table[FEATURES].to_numpy(), table.label.to_numpy()
+    assert_same_trees(model, *boost(x, y, **SETTINGS))
+    assert max(len(t) for t in by_tree(model).values()) > 60  # the trees are not trivial
+
+
+def test_leaves_are_bounded_and_split_best_first(spark):
+    table = sessions(1500, 8)
+    settings = SETTINGS | dict(leaves=7, rounds=4, bins=255, least_rows=10, columns=1.0)
+    model = boosting.train_boosted(frame(spark, table), **settings)
+    assert_same_trees(model, *boost(table[FEATURES].to_numpy(), table.label.to_numpy(), **settings))
+    assert all(sum(node[1] is None for node in tree) == 7 for k, tree in by_tree(model).items() if k)
+
+
+def test_stops_on_validation_precision(spark):
+    table, held_out = sessions(800, 5), sessions(500, 6, "validation")
+    settings = SETTINGS | dict(rounds=40, leaves=8, rate=0.6, least_rows=10, patience=4)
+    model = boosting.train_boosted(frame(spark, table), frame(spark, held_out), **settings)
+    start, trees = boost(table[FEATURES].to_numpy(), table.label.to_numpy(), **settings, held_out=(held_out[FEATURES].to_numpy(), held_out.label.to_numpy()))
+    assert 1 <= len(trees) < 36
+    assert_same_trees(model, start, trees)
+
+
+def test_partitioning_does_not_matter(spark):
+    table = sessions(1200, 9)
+    one = boosting.train_boosted(frame(spark, table, 1), **SETTINGS)
+    many = boosting.train_boosted(frame(spark, table.sample(frac=1, random_state=1), 7), **SETTINGS)
+    assert one.nodes == many.nodes
+
+
+def test_edges(spark):
+    table = sessions(700, 2)
+    for bins in (4, 30, 255):
+        found = boosting.collect_edges(boosting.bin_edges(frame(spark, table), FEATURES, bins), FEATURES)
+        assert [e.tolist() for e in found] == [edges_of(table[f].tolist(), bins) for f in FEATURES]
+
+
+def test_a_value_of_a_third_of_the_rows(spark):
+    table = sessions(900, 4)
+    table.loc[:600, "avg_view_price"] = 7.5
+    found = boosting.collect_edges(boosting.bin_edges(frame(spark, table), FEATURES, 10), FEATURES)
+    assert [e.tolist() for e in found] == [edges_of(table[f].tolist(), 10) for f in FEATURES]
+
+
+@pytest.mark.parametrize("labels", [0, 1, None])
+def test_one_class_or_no_rows(spark, labels):
+    table = sessions(50).assign(label=labels or 0) if labels is not None else sessions(50)[:0]
+    model = boosting.train_boosted(frame(spark, table))
+    assert len(model.nodes) == 1
+    logistic = reweighted.train_reweighted(frame(spark, table))
+    scored = [r.prediction_score for r in logistic.scores(frame(spark, sessions(5))).collect()]
+    odds = {0: 0.5 / 50, 1: 50 / 0.5, None: 1.0}[labels]
+    assert scored == pytest.approx([odds / (1 + odds)] * 5)
+    assert [r.prediction_score for r in model.scores(frame(spark, sessions(5))).collect()] == pytest.approx(scored)
+
+
+def test_empty_validation_counts_as_none(spark):
+    table = sessions(600)
+    settings = SETTINGS | dict(rounds=2)
+    assert boosting.train_boosted(frame(spark, table), frame(spark, table[:0]), **settings).nodes == boosting.train_boosted(frame(spark, table), **settings).nodes
+
+
+def test_nulls_count_as_zero(spark):
+    table = sessions(600, 7)
+    missing = table.copy()
+    table.loc[::3, "n_view"] = 0.0
+    missing.loc[::3, "n_view"] = None
+    rows = [tuple(None if isinstance(v, float) and np.isnan(v) else v for v in r) for r in missing.itertuples(index=False)]
+    with_nulls = spark.createDataFrame(rows, frame(spark, table).schema)
+    settings = SETTINGS | dict(rounds=2)
+    model, own = boosting.train_boosted(frame(spark, table), **settings), boosting.train_boosted(with_nulls, **settings)
+    assert model.nodes == own.nodes
+    for found in (model.scores(with_nulls), model.walked_scores(with_nulls)):
+        assert dict((r[0], r[1]) for r in found.collect()) == pytest.approx(dict((r[0], r[1]) for r in model.scores(frame(spark, table)).collect()))
+    logistic = reweighted.train_reweighted(frame(spark, table))
+    assert reweighted.train_reweighted(with_nulls).coefficients == pytest.approx(logistic.coefficients, rel=1e-6)
+
+
+def test_stored_model_scores_alike(spark):
+    table = sessions(1000)
+    data = frame(spark, table).withColumn("split", spark.range(1).select("id").scalar().cast("string"))
+    model = boosting.train_boosted(data, **SETTINGS)
+    path = scratch_path(spark, "model")
+    model.save(path)
+    loaded = model_tables.TreeModel.load(spark, path, FEATURES)
+    assert loaded.nodes == sorted(model.nodes, key=lambda n: n[:2])
+    compiled = sorted(tuple(r) for r in loaded.scores(data, ["split"]).collect())
+    walked = sorted(tuple(r) for r in loaded.walked_scores(data, ["split"]).collect())
+    assert [r[0] for r in compiled] == [r[0] for r in walked] and [r[2:] for r in compiled] == [r[2:] for r in walked]
+    assert [r[1] for r in compiled] == pytest.approx([r[1] for r in walked], abs=1e-12)
+    margins = np.full(len(table), model.nodes[0][5])
+    for number, tree in by_tree(model).items():
+        nodes = {n[0]: n for n in tree}
+        for k, row in enumerate(table[FEATURES].to_numpy()) if number else ():
+            at = 1
+            while nodes[at][1] is not None:
+                at = 2 * at + (row[nodes[at][1]] > nodes[at][2])
+            margins[k] += nodes[at][4]
+    by_id = dict(zip(table.session_id, 1 / (1 + np.exp(-margins))))
+    assert dict((r[0], r[1]) for r in compiled) == pytest.approx(by_id, abs=1e-12)
+
+
+def test_importance_counts_splits(spark):
+    model = boosting.train_boosted(frame(spark, sessions(900)), **SETTINGS)
+    found = {r.feature: (r.importance, r.gain) for r in model.importance().collect()}
+    assert set(found) == set(FEATURES)
+    for k, name in enumerate(FEATURES):
+        used = [n for n in model.nodes if n[2] == k]
+        assert found[name] == (len(used), pytest.approx(sum(n[4] for n in used)))
+
+
+def test_average_precision_of_reference():
+    assert average_precision([1, 0, 1, 0], [0.9, 0.8, 0.8, 0.1]) == pytest.approx(0.5 * 1 + 0.5 * 2 / 3)
+
+
+def test_reweighted_equals_the_iterative_fit(spark):
+    table = sessions(1500)
+    for name in FEATURES:
+        table[name] = table[name] / table[name].max()
+    data = frame(spark, table)
+    newton, iterative = reweighted.train_reweighted(data), models.train_logistic(data, max_iter=2000)
+    fitted = iterative.stages[-1]
+    assert newton.rounds < 15
+    assert list(newton.coefficients.values()) == pytest.approx(fitted.coefficients.toArray().tolist(), abs=2e-4)
+    own = {r[0]: r[1] for r in newton.scores(data).collect()}
+    assert own == pytest.approx({r[0]: r[1] for r in models.score_sessions(iterative, data).collect()}, abs=1e-4)
+
+
+def test_reweighted_is_the_optimum(spark):
+    """The gradient of the penalised loss is zero, on features of very different sizes."""
+    table = sessions(1200)
+    model = reweighted.train_reweighted(frame(spark, table), c=0.5)
+    x, y = table[FEATURES].to_numpy(), table.label.to_numpy()
+    w = np.array([model.coefficients[f] for f in FEATURES])
+    weight = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))
+    error = weight * (1 / (1 + np.exp(-(x @ w + model.intercept))) - y)
+    assert error.sum() == pytest.approx(0, abs=1e-7)
+    assert (x.T @ error + w / 0.5) / x.std(0) == pytest.approx(np.zeros(len(w)), abs=1e-7)
+
+
+def test_logistic_table_round_trip(spark):
+    data = frame(spark, sessions(400))
+    model = reweighted.train_reweighted(data)
+    path = scratch_path(spark, "logistic")
+    model.save(path)
+    loaded = model_tables.LogisticModel.load(spark, path)
+    assert loaded.coefficients == model.coefficients and loaded.intercept == model.intercept

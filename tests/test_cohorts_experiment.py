@@ -139,3 +139,12 @@ def test_overview(spark):
     ).first()
     assert (kpis["total_sessions"], kpis["conversion_rate"], kpis["week1_retention"]) == (10, 0.5, None)
     assert kpis["experiment_lift"] == pytest.approx(0.2)
+
+
+def test_a_user_with_two_arms_is_an_error(spark):
+    feed, assigned = _experiment(spark, (3, 1), (3, 2))
+    twice = assigned.unionByName(assigned)
+    assert experiment.experiment_readout(feed, twice).collect() == experiment.experiment_readout(feed, assigned).collect()
+    both = assigned.unionByName(spark.createDataFrame([(1, "treatment")], assigned.schema))
+    with pytest.raises(Exception, match="two variants of user 1"):
+        experiment.experiment_readout(feed, both).collect()

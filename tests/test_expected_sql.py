@@ -9,7 +9,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as registry
-from conftest import SF_DIR
+from feeds import SF_DIR
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "

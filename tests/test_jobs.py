@@ -3,14 +3,16 @@
 import duckdb
 import numpy as np
 import pytest
-from pyspark.ml import PipelineModel
+from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
 import feeds
 from clickstrata import schema
 from clickstrata.operators import curves, models, ranking
-from clickstrata.operators.features import session_features
+from clickstrata.operators.features import assign_split, session_features
+from clickstrata.operators.model_tables import LogisticModel, TreeModel
 from clickstrata.plans import run_bronze, run_gold, run_lakehouse, run_modelling, run_sessions, run_silver
+from clickstrata.plans.modelling import Cuts
 from clickstrata.sources import export_parquet, read_layer
 from clickstrata.sources.sample_feed import raw_events
 
@@ -100,9 +102,31 @@ def test_modelling(spark, lake, sizes):
     scores = spark.read.parquet(f"{root}/gold/ml_session_scores")
     assert scores.count() == report["score_summary"]["rows"] == sizes("build_sessions")
     assert dict(scores.dtypes) == {"session_id": "string", "prediction_score": "float", "label": "int"}
-    again = PipelineModel.load(f"{root}/models/session_boosted_trees")
+    again = TreeModel.load(spark, f"{root}/models/session_boosted_trees", schema.FEATURES)
     features = spark.read.parquet(f"{root}/gold/ml_session_dataset")
-    assert models.as_exported(models.score_sessions(again, features)).exceptAll(scores).isEmpty()
+    assert models.as_exported(again.scores(features)).exceptAll(scores).isEmpty()
+    logistic = LogisticModel.load(spark, f"{root}/models/session_logistic_regression")
+    assert logistic.scores(features).count() == scores.count() and set(logistic.coefficients) == set(schema.FEATURES)
+
+
+def test_splits_read_only_their_months(spark, tmp_path):
+    """The model table is stored by month: date bounds of a split reach its folders."""
+    days = [f"2024-0{month}-{day:02d}" for month in range(1, 7) for day in (3, 17)]
+    table = spark.createDataFrame([(d, k) for k, d in enumerate(days)], "session_date string, n long").withColumn("session_date", F.col("session_date").cast("date"))
+    path = str(tmp_path / "table")
+    table.withColumns({"year": F.year("session_date"), "month": F.month("session_date")}).write.partitionBy("year", "month").parquet(path)
+    stored = spark.read.parquet(path)
+    cuts = Cuts.of(stored)
+    found = {}
+    for split in ("train", "validation", "test"):
+        part = cuts.part(stored, split)
+        text = part._jdf.queryExecution().executedPlan().toString()
+        assert "month" in text.split("PartitionFilters: [")[1].split("]")[0]
+        found[split] = {str(r["session_date"]) for r in part.collect()}
+        expected = assign_split(stored).where(F.col("split") == split).collect()
+        assert found[split] == {str(r["session_date"]) for r in expected}
+    assert sum(map(len, found.values())) == 12
+    assert len({f.split("/month=")[1][0] for f in cuts.part(stored, "test").inputFiles()}) >= 1
 
 
 def test_models_learn(dataset):

@@ -4,13 +4,13 @@ import pytest
 
 import __spark_entry__ as registry
 from clickstrata import schema
-from clickstrata.operators import cohorts, experiment, gold, silver
-from clickstrata.operators.features import session_features
+from clickstrata.operators import cohorts, experiment, gold, quality, silver
+from clickstrata.operators.features import session_event_features, session_features
 from clickstrata.operators.sessions import build_sessions
 from clickstrata.sources import read_layer, write_layer
 from clickstrata.sources.files import layer_path
 
-MODELS = {"logistic_scores", "gbt_scores", "feature_importance", "score_summary", "model_report"}
+MODELS = {name for name in registry.queries() if name.startswith(("gbt_", "logistic_"))} | {"feature_importance", "score_summary", "model_report"}
 
 
 def plan(df):
@@ -58,3 +58,28 @@ def test_retention_scans_once_and_joins_nothing(stored_events):
 def test_session_ids_are_not_computed_per_event(stored_events):
     text = plan(session_features(build_sessions(stored_events), stored_events))
     assert "sha2" not in "".join(line for line in text.splitlines() if "Filter" in line or "FileScan" in line)
+
+
+def expands_scan(df):
+    """Whether rows are copied for several distinct counts right above a scan."""
+    lines = plan(df).splitlines()
+    for k, line in enumerate(lines):
+        if "Expand" in line:
+            below = next((x for x in lines[k + 1 :] if "Aggregate" in x or "FileScan" in x), "")
+            if "FileScan" in below:
+                return True
+    return False
+
+
+def test_distinct_counts_do_not_copy_events(stored_events):
+    assert not expands_scan(session_event_features(stored_events))
+    assert "Expand" not in plan(quality.quality_events(stored_events))
+    assert "Expand" not in plan(quality.quality_sessions(build_sessions(stored_events)))
+
+
+def test_checking_assignments_costs_no_extra_scan(spark, stored_events, tmp_path):
+    path = str(tmp_path / "assigned")
+    experiment.assign_variants(stored_events).write.parquet(path)
+    assigned = spark.read.parquet(path)
+    text = plan(experiment.experiment_arms(assigned, experiment.user_purchases(stored_events)))
+    assert text.count("FileScan") == 2 and "raise_error" in text

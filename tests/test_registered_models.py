@@ -1,11 +1,9 @@
 """The registered model queries train with the library's own settings."""
 
-import inspect
-
 import pytest
 
 import __spark_entry__ as registry
-from clickstrata.operators import models
+from clickstrata.operators import boosting
 from clickstrata.plans import modelling
 
 
@@ -13,17 +11,14 @@ class Seen(Exception):
     pass
 
 
-@pytest.mark.parametrize("name", ["gbt_scores", "feature_importance", "score_summary", "model_report"])
+@pytest.mark.parametrize("name", ["gbt_nodes", "gbt_scores", "feature_importance", "score_summary", "model_report"])
 def test_full_settings(spark, sf_dir, monkeypatch, name):
-    signature = inspect.signature(models.train_gbt)
-
-    def train(*args, **settings):
-        called = signature.bind(*args, **settings)
-        called.apply_defaults()
-        raise Seen(called.arguments["max_iter"], called.arguments["min_rows_per_leaf"], called.arguments["patience"])
+    def train(train, validation=None, settings=None, **changes):
+        used = boosting.replace(settings or boosting.Settings(), **changes)
+        raise Seen(used.rounds, used.least_rows, used.patience, used.leaves, validation is not None)
 
-    monkeypatch.setattr(models, "train_gbt", train)
-    monkeypatch.setattr(modelling, "train_gbt", train)
+    monkeypatch.setattr(boosting, "train_boosted", train)
+    monkeypatch.setattr(modelling, "train_boosted", train)
     with pytest.raises(Seen) as seen:
         registry.queries()[name](spark, sf_dir)
-    assert seen.value.args == (300, 100, 30)
+    assert seen.value.args == (300, 100, 30, 63, True)

@@ -108,3 +108,20 @@ def test_quality_reports(spark):
     assert [tuple(e) for e in sessions["funnel_flag_distribution"]] == [
         (True, False, False, 2), (True, False, True, 1),
     ]
+
+
+def test_reports_list_all_values(spark):
+    """Types and flags beyond the known ones are listed too, NULL among them."""
+    feed = spark.createDataFrame([("view", 1, 1), ("view", 2, 1), ("refund", 2, 1), (None, 3, None)], "event_type string, user_id long, product_id long")
+    report = quality_events(feed).first()
+    assert (report["rows"], report["distinct_users"], report["distinct_products"]) == (4, 3, 1)
+    assert [tuple(e) for e in report["event_type_distribution"]] == [("view", 2), ("refund", 1), (None, 1)]
+    rows = [(1, 1, 0, 0), (2, 1, 0, 0), (3, 2, None, 1)]
+    sessions = quality_sessions(spark.createDataFrame(rows, "user_id long, has_view int, has_cart int, has_purchase int")).first()
+    assert [tuple(e) for e in sessions["funnel_flag_distribution"]] == [(True, False, False, 2), (False, None, True, 1)]
+
+
+def test_reports_of_empty_tables(spark):
+    feed = events(spark, {}).limit(0)
+    assert quality_events(feed).first()["event_type_distribution"] == []
+    assert quality_sessions(build_sessions(feed)).first()["funnel_flag_distribution"] == []
