@@ -18,12 +18,13 @@ RATE, L2, BINS, COLUMNS, SEED, LEAST_HESSIAN = 0.05, 1.0, 255, 0.8, 42, 1e-3
 UNIT = "CAST(16777216 AS DOUBLE)"
 N = len(schema.FEATURES)
 NEWTON_ROUNDS = 14
+SINGLE = [f"CAST(CAST({name} AS FLOAT) AS DOUBLE)" for name in schema.FEATURES]
 
 MODEL_PARTS: dict[str, str] = {
     "model_rows": """
       SELECT f.*, s.split FROM features_exact f JOIN (SELECT session_id AS id, split FROM split_sessions) s ON s.id = f.session_id""",
     "inputs": f"""
-      SELECT session_id, split, label, unnest(range({N})) AS f, unnest([{", ".join(schema.FEATURES)}]) AS x FROM model_rows""",
+      SELECT session_id, split, label, unnest(range({N})) AS f, unnest([{", ".join(SINGLE)}]) AS x FROM model_rows""",
     "edge_rows": f"""
       SELECT f, CASE WHEN kinds <= {BINS} THEN k - 1 ELSE (c - 1) * {BINS} // total END AS bin, max(x) AS edge
       FROM (SELECT f, x, sum(n) OVER (PARTITION BY f ORDER BY x) AS c, row_number() OVER (PARTITION BY f ORDER BY x) AS k,
