@@ -39,7 +39,7 @@ from .words import mix
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
 PIECE_MODEL = "piece_bpe_32k.model"
-HELD_BYTES = 96 << 20  # of chunks and what is known of them, by estimate; a Python worker forgets them beyond that
+HELD_BYTES = 320 << 20  # of chunks and what is known of them, by estimate; a Python worker forgets them beyond that
 BATCH_CHARACTERS = 1 << 20  # of text whose new chunks are aligned together
 FAN = 16  # vectors that are added up by one task
 GAMMA = 2.0
@@ -141,7 +141,7 @@ class Aligner:
 
     def numbers(self, own: list[str]) -> np.ndarray:
         """The number of each chunk, new ones being aligned."""
-        new = list(set(own) - self.known.keys())
+        new = list({chunk for chunk in own if chunk not in self.known})
         if new:
             self.learn(new)
         return np.fromiter(map(self.known.__getitem__, own), np.int32, len(own))
@@ -219,21 +219,27 @@ class Batch:
 
 def _aligned(own: Aligner, texts: pa.Array, forget) -> Iterator[Batch]:
     """The documents in batches of about :data:`BATCH_CHARACTERS`, one at least. ``forget`` is called when chunks are to be forgotten."""
-    low, numbers, ends, size = 0, [], [0], 0
+    low, ends, size = 0, [0], 0
+    numbers: list[np.ndarray] = [np.empty(0, np.int32)]
+    waiting: list[str] = []  # chunks that have no number yet; a long document's do not wait together
     for k, text in enumerate(texts):
         if size >= BATCH_CHARACTERS:
-            yield Batch(low, k, np.concatenate(numbers), np.array(ends))
-            low, numbers, ends, size = k, [], [0], 0
-        if not size and own.full():
-            forget()
-            own.forget()
+            yield Batch(low, k, np.concatenate([*numbers, own.numbers(waiting)]), np.array(ends))
+            low, ends, size, numbers, waiting = k, [0], 0, numbers[:1], []
+            if own.full():
+                forget()
+                own.forget()
         n = 0
         for part in segments(" " + value) if (value := text.as_py()) else ():
-            numbers.append(own.numbers(chunks(part)))
-            n += len(numbers[-1])
+            found = chunks(part)
+            waiting += found
+            n += len(found)
             size += len(part)
+            if size >= BATCH_CHARACTERS:
+                numbers.append(own.numbers(waiting))
+                waiting = []
         ends.append(ends[-1] + n)
-    yield Batch(low, len(texts), np.concatenate([np.empty(0, np.int32), *numbers]), np.array(ends))
+    yield Batch(low, len(texts), np.concatenate([*numbers, own.numbers(waiting)]), np.array(ends))
 
 
 # ---- first pass -------------------------------------------------------------

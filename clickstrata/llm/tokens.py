@@ -8,6 +8,7 @@ text are those of its chunks in order. Both encoders check their vocabulary for
 
 from __future__ import annotations
 
+import itertools
 import json
 import re
 from array import array
@@ -24,7 +25,7 @@ JOINED = 1 << 15  # characters that are given to a tokenizer at a time
 _TOUCHING = re.compile(r"\s[ \n]")
 _CHUNK = re.compile(r"(?s:.)[^ \n]*(?:(?<=\s)[ \n][^ \n]*)*")
 _FIRST = re.compile(r"[^ \n]*")
-_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _CUT = re.compile(r"(?<=\S)[ \n]")
 
 
@@ -94,6 +95,7 @@ class ByteTokenizer:
         self.tokenizer.encode_special_tokens = True
         self._characters = {b: c for c, b in alphabet.items()}
         self._space = self._characters[0x20]
+        self._short: dict[str, list[int]] = {}  # of chunks of one or two characters
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.bytes: list[bytes] = [b""] * self.size
@@ -122,15 +124,26 @@ class ByteTokenizer:
             word = "".join(map(self._characters.__getitem__, word.encode()))
         return [t.id for t in self.tokenizer.model.tokenize(self._space + word if chunk[0] == " " else word)]
 
+    def ids_of(self, chunk: str) -> list[int]:
+        """The ids of a chunk, from those of its parts where a token never spans two: after a line feed, and between a
+        letter or digit and the punctuation behind it."""
+        if chunk[0] == "\n" and chunk[1:2].strip():
+            return self.ids_of("\n") + self.ids_of(chunk[1:])
+        if chunk in self._short:
+            return self._short[chunk]
+        core = chunk.rstrip(PUNCTUATION)
+        if core != chunk and core[-1:].isalnum():
+            return self.encode_one(core) + self.ids_of(chunk[len(core) :])
+        ids = self.encode_one(chunk)
+        if len(chunk) <= 2:
+            self._short[chunk] = ids
+        return ids
+
     def encode_chunks(self, own: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all chunks one after the other, how many ids there are up to each chunk's end)."""
-        ids, stops, before = [], [], 0
-        for run in batches(own):
-            found = np.array(self.tokenizer.encode("".join(run), add_special_tokens=False).ids, np.int64)
-            stops.append(before + chunk_stops(self.lengths[found], run))
-            ids.append(found)
-            before += len(found)
-        return _joined(ids), _joined(stops)
+        found = list(map(self.ids_of, own))
+        stops = np.cumsum(list(map(len, found)), dtype=np.int64)
+        return np.fromiter(itertools.chain.from_iterable(found), np.int64, int(stops[-1]) if found else 0), stops
 
 
 def chunk_stops(lengths: np.ndarray, run: list[str]) -> np.ndarray:
@@ -181,22 +194,17 @@ class PieceTokenizer:
         return _joined(ids), _joined(stops), _joined(good).astype(bool)
 
     def _encode(self, run: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        # The model puts a space in front, which is the first chunk's own.
+        # Behind a chunk of one token, as the space that the model puts in front is not the text's.
         text = "".join(run)
-        if text[:1] == " " and self.SPACE not in text:
-            found = np.array(self.model.encode(text[1:]), np.int64)
-            if b"".join(map(self.bytes.__getitem__, found.tolist())) == text.encode():
-                yield found, chunk_stops(self.lengths[found], run), np.ones(len(run), bool)
-                return
-        if len(run) > 1:
+        found = self.model.encode("a" + text)[1:]
+        if self.SPACE not in text and b"".join(map(self.bytes.__getitem__, found)) == text.encode():
+            ids = np.array(found, np.int64)
+            yield ids, chunk_stops(self.lengths[ids], run), np.ones(len(run), bool)
+        elif len(run) > 1:
             for chunk in run:
                 yield from self._encode([chunk])
-            return
-        # Behind a chunk of its own: the space in front is not the chunk's, or there is nothing else in it.
-        found = np.array(self.model.encode("a" + text), np.int64)[1:]
-        good = self.SPACE not in text and b"".join(map(self.bytes.__getitem__, found.tolist())) == text.encode()
-        found = found if good else found[:0]
-        yield found, np.array([len(found)]), np.array([good])
+        else:
+            yield np.empty(0, np.int64), np.zeros(1, np.int64), np.zeros(1, bool)
 
 
 class _Learned(dict):
@@ -208,7 +216,7 @@ class _Learned(dict):
     def __missing__(self, chunk: str) -> bytes:
         if self.spaced and chunk[:1] == "\n" and chunk[1:2].strip():
             ids = self.tails["\n"] + self.tails[chunk[1:]]
-        elif (core := chunk.rstrip(_PUNCTUATION)) != chunk and core[-1:].isalnum():
+        elif (core := chunk.rstrip(PUNCTUATION)) != chunk and core[-1:].isalnum():
             # Letters and digits never share a token with punctuation after them.
             ids = self[core] + self.tails[chunk[len(core) :]]
         else:
