@@ -21,6 +21,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from clickstrata import functions as fn  # noqa: E402
 from clickstrata import schema  # noqa: E402
 from clickstrata.operators import (  # noqa: E402
+    bitmaps,
     boosting,
     bronze,
     cohorts,
@@ -45,6 +46,7 @@ from clickstrata.sources import (  # noqa: E402
     build_mart,
     export_parquet,
     read_layer,
+    read_nested,
     read_raw_csv,
     read_table,
     register_views,
@@ -191,6 +193,17 @@ def views_count(spark, sf_dir):
     return quality.warehouse_counts({name: spark.table(name) for name in sorted(views)})
 
 
+@query
+def views_nested_drift(spark, sf_dir):
+    """Older days without brands in one layout of folders, newer ones in another, read as one view."""
+    root, events = scratch_path(spark, "nested"), _stored_events(spark, sf_dir)
+    old = F.col("event_date") < "2024-01-15"
+    events.where(old).drop("brand", "category_code").write.parquet(f"{root}/2024/01/early")
+    events.where(~old).withColumn("part", F.dayofmonth("event_date") % 2).write.partitionBy("part").parquet(f"{root}/late")
+    read_nested(spark, root).createOrReplaceTempView("all_events")
+    return spark.sql("SELECT event_ts, event_type, user_id, product_id, brand, category_code, price FROM all_events")
+
+
 @query
 def sink_partitioned_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "fact_events")
@@ -374,6 +387,27 @@ def funnel_from_user_daily(spark, sf_dir):
     return gold.funnel_from_user_daily(gold.user_daily(_events(spark, sf_dir)))
 
 
+def _stored_bitmaps(spark, sf_dir):
+    """The stretched feed's days, so that there are several months."""
+    events = silver.clean_events(bronze.ingest_events(_stretched(spark, sf_dir, False)))
+    return stage(bitmaps.day_bitmaps(events), "bitmaps")
+
+
+@query
+def funnel_monthly_users(spark, sf_dir):
+    return bitmaps.funnel_periods(_stored_bitmaps(spark, sf_dir), "month")
+
+
+@query
+def funnel_weekly_users(spark, sf_dir):
+    return bitmaps.funnel_periods(_stored_bitmaps(spark, sf_dir), "week")
+
+
+@query
+def distinct_users_by_type(spark, sf_dir):
+    return bitmaps.distinct_users(_stored_bitmaps(spark, sf_dir), "event_type")
+
+
 @query
 def session_funnel_daily(spark, sf_dir):
     return funnel.session_funnel_daily(_sessions(spark, sf_dir))
@@ -400,6 +434,16 @@ def cohort_retention(spark, sf_dir):
     return _retention(spark, sf_dir)
 
 
+@query
+def retention_from_state(spark, sf_dir):
+    """The users' weeks carried over three deliveries of ten days each, merged one after the other."""
+    events, state = _stored_events(spark, sf_dir), None
+    for first, last in (("2024-01-01", "2024-01-10"), ("2024-01-11", "2024-01-20"), ("2024-01-21", "9999-12-31")):
+        new = cohorts.week_state(events.where(F.col("event_date").between(first, last)))
+        state = stage(new if state is None else cohorts.merge_week_states(state, new), "week_state")
+    return cohorts.retention_from_state(state)
+
+
 @query
 def top_cohort_rows(spark, sf_dir):
     return reporting.top_rows(_retention(spark, sf_dir), ["cohort_week", "week_index"], 10)
@@ -679,11 +723,20 @@ def gbt_bin_edges(spark, sf_dir):
     return boosting.bin_edges(_part(_model_table(spark, sf_dir), features.SPLITS[0]))
 
 
-def _boosted(spark, sf_dir, **settings):
-    """With the library's settings, which stop on the validation part."""
+@cache
+def _fitted(train_boosted, application, spark, sf_dir):
+    """The model table and an ensemble with the library's settings, which stop on the validation part; stored, once a session."""
     table = _model_table(spark, sf_dir)
-    train, validation = (_part(table, name) for name in features.SPLITS[:2])
-    return table, boosting.train_boosted(train, validation, **settings)
+    model = train_boosted(*(_part(table, name) for name in features.SPLITS[:2]))
+    path = scratch_path(spark, "model")
+    model.save(path)
+    return table, path
+
+
+def _boosted(spark, sf_dir):
+    """The model table, and the ensemble as it is stored."""
+    table, path = _fitted(boosting.train_boosted, spark.sparkContext.applicationId, spark, sf_dir)
+    return table, model_tables.TreeModel.load(spark, path, schema.FEATURES)
 
 
 @query
@@ -693,11 +746,8 @@ def gbt_nodes(spark, sf_dir):
 
 @query
 def gbt_scores(spark, sf_dir):
-    """Scored from the model as it is stored."""
     table, model = _boosted(spark, sf_dir)
-    path = scratch_path(spark, "model")
-    model.save(path)
-    return model_tables.TreeModel.load(spark, path, schema.FEATURES).scores(table)
+    return model.scores(table)
 
 
 @query

@@ -8,6 +8,7 @@ from clickstrata.sources.files import (
     layer_path,
     month_number,
     read_layer,
+    read_nested,
     read_raw_csv,
     read_table,
     register_views,
@@ -28,6 +29,7 @@ __all__ = [
     "layer_path",
     "month_number",
     "read_layer",
+    "read_nested",
     "read_raw_csv",
     "read_table",
     "register_views",

@@ -40,6 +40,16 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def read_nested(spark: SparkSession, *paths: str) -> DataFrame:
+    """All Parquet files in any folder below the paths, whatever the folders are called.
+
+    Columns that only some files have are NULL in the others. Folder names give no columns here;
+    :func:`read_layer` reads the layers' own year and month folders.
+    """
+    reader = spark.read.option("recursiveFileLookup", True).option("mergeSchema", True)
+    return reader.parquet(*paths)
+
+
 def layer_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{LAYERS[name]}"
 
