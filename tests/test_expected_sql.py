@@ -61,4 +61,8 @@ def test_runs(spark, sf_dir, name):
 
 
 def test_entry(spark):
-    assert registry.entry(spark).count() == 28
+    """A row for each day of the smoke table on which a session began."""
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW events AS SELECT * FROM '{registry.SMOKE_DIR}/events.parquet'")
+    days = duck.execute(f"SELECT count(*) FROM ({registry.oracle_sql()['session_funnel_daily']})").fetchone()[0]
+    assert registry.entry(spark).count() == days > 0

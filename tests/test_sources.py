@@ -91,13 +91,16 @@ class _Session:
         self.sparkContext = SimpleNamespace(master=master, applicationId="app-1")
 
 
-def test_scratch_folder():
+def test_scratch_folder(monkeypatch):
+    monkeypatch.setattr(scratch, "_own", {})
     assert scratch._root(_Session("yarn", "s3a://shared/tmp/")) == "s3a://shared/tmp/clickstrata-app-1"
     assert scratch._root(_Session("local[2]", "/given")) == "/given/clickstrata-app-1"
-    with pytest.raises(RuntimeError, match="share"):
-        scratch._root(_Session("yarn"))
-    own = scratch._root(_Session("local[2]"))
-    assert own.endswith("/clickstrata-app-1") and own == scratch._root(_Session("local[2]"))
+    for master in ("yarn", "local[2]"):
+        with pytest.raises(RuntimeError, match="share"):
+            scratch._root(_Session(master))
+    scratch.use_folder(_Session("local[2]"), "/own")
+    assert scratch._root(_Session("local[2]")) == "/own/clickstrata-app-1"
+    assert scratch._root(_Session("local[2]", "/given")) == "/given/clickstrata-app-1"
 
 
 def test_clear_scratch(spark, monkeypatch):
