@@ -40,7 +40,7 @@ from . import words as W
 VOCABULARY = "word_bpe_49k.json"
 WINDOW = 4096
 END_ID = 2
-SHARD_TOKENS = 4_000_000
+SHARD_TOKENS = 1_000_000  # texts, ids, terms and index of a shard are held by one Python worker
 BYTES_A_TOKEN = 4  # about, in English
 TERMS = 1 << 64  # all hashes
 QUERY_TERMS = math.inf  # all words
@@ -86,7 +86,8 @@ class Encoder:
         found = [self._split(text) if text else [] for text in texts]
         if len(self.known) > _CACHE:
             self.known = {}
-        self._learn(set().union(*(own for own in found if isinstance(own, list))) - self.known.keys())
+        every = set().union(*(own for own in found if isinstance(own, list)))
+        self._learn({word for word in every if word not in self.known})
         return [own if isinstance(own, bytes) else b"".join(map(self.known.__getitem__, own)) for own in found]
 
     def _split(self, text: str) -> list[str] | bytes:
