@@ -63,11 +63,11 @@ def quality_bronze(bronze: DataFrame) -> DataFrame:
     return bronze.agg(F.count("*").alias("rows"))
 
 
-def _listed(counted: DataFrame, order: Sequence[Column]) -> Column:
-    """The rows of a small table as one array of structs, as a scalar subquery."""
-    fields = counted.columns
-    ordered = F.sort_array(F.collect_list(F.struct(*[c.alias(f"_{k}") for k, c in enumerate(order)], F.struct(*fields).alias("entry"))))
-    return counted.agg(ordered["entry"].alias("entries")).scalar()
+def _counted(groups: DataFrame, rows: str, order: Sequence[Column], name: str) -> DataFrame:
+    """One row: the sum of the groups' counts, and the groups themselves as one array of structs."""
+    entry = F.struct(*groups.columns).alias("entry")
+    ordered = F.sort_array(F.collect_list(F.struct(*[c.alias(f"_{k}") for k, c in enumerate(order)], entry)))
+    return groups.agg(F.coalesce(F.sum("count"), F.lit(0)).alias(rows), ordered["entry"].alias(name))
 
 
 def _distinct(df: DataFrame, column: str) -> Column:
@@ -83,21 +83,21 @@ def quality_events(events: DataFrame) -> DataFrame:
     types = events.groupBy("event_type").agg(F.count("*").alias("count"))
     # NULL, if there is one, comes last among equals.
     order = [-F.col("count"), F.col("event_type").isNull(), F.col("event_type")]
-    return events.agg(F.count("*").alias("rows")).select(
+    return _counted(types, "rows", order, "event_type_distribution").select(
         "rows",
         _distinct(events, "user_id").alias("distinct_users"),
         _distinct(events, "product_id").alias("distinct_products"),
-        F.coalesce(_listed(types, order), F.array().cast("array<struct<event_type:string,count:bigint>>")).alias("event_type_distribution"),
+        "event_type_distribution",
     )
 
 
 def quality_sessions(sessions: DataFrame) -> DataFrame:
-    """One row: sessions, distinct users, distribution of the stages reached, whatever values the flags have."""
+    """One row: sessions, distinct users, distribution of the stages reached, whatever values the flags have.
+
+    Two scans; hand in a stored table.
+    """
     flags = [(F.col(f"has_{stage}") == 1).alias(stage) for stage in STAGES]
-    counted = sessions.groupBy(*flags).agg(F.count("*").alias("count"))
-    kind = f"array<struct<{','.join(f'{stage}:boolean' for stage in STAGES)},count:bigint>>"
-    return sessions.agg(F.count("*").alias("sessions")).select(
-        "sessions",
-        _distinct(sessions, "user_id").alias("distinct_users"),
-        F.coalesce(_listed(counted, [-F.col("count"), *map(F.col, STAGES)]), F.array().cast(kind)).alias("funnel_flag_distribution"),
+    reached = sessions.groupBy(*flags).agg(F.count("*").alias("count"))
+    return _counted(reached, "sessions", [-F.col("count"), *map(F.col, STAGES)], "funnel_flag_distribution").select(
+        "sessions", _distinct(sessions, "user_id").alias("distinct_users"), "funnel_flag_distribution"
     )
