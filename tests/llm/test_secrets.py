@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import time
 
 import cases
 
@@ -81,3 +83,21 @@ def test_supplied_table(spark, sf_dir):
     got = sorted((tuple(r) for r in secrets.scan_secrets(documents).collect()), key=cases.key)
     assert got == brute(rows)
     assert len(got) == len(rows)
+
+
+def test_many_spans_in_a_text():
+    r = random.Random(6)
+    parts = ["password = ", "AKIA", "0123456789abcdef", "Xy7/", "qZ3+", " ", "\n", "token:", "kJ9w_aB2c-dE4f=G6h"]
+    for n in (0, 40, 2000):
+        text = "".join(r.choices(parts, k=n))
+        base = [s for s in secrets.find_spans(text) if s[0] != "unique"]
+        free = [m.span() for m in secrets.MIXED.finditer(text) if not any(a < m.end() and m.start() < b for _, a, b, _ in base) and secrets._looks_random(m[0])]
+        assert [s[1:3] for s in secrets.find_spans(text) if s[0] == "unique"] == free
+        assert n < 2000 or free
+
+
+def test_time_grows_with_the_length():
+    text = "".join(f"{k:016x} qZ3+Xy7/kJ9w_aB2c-dE4f=G{k} " for k in range(100_000))
+    began = time.process_time()
+    assert len(secrets.find_spans(text)) >= 200_000
+    assert time.process_time() - began < 60
