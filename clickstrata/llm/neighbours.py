@@ -6,7 +6,8 @@ query arrives, answers the queries in batches, and the best of all shards are
 merged in Spark. Nothing but one shard and one batch is in memory.
 
 A tree node holds a vantage point and the median distance ``mu`` of its points to
-it. By the triangle inequality a query at distance ``d`` from the vantage point
+it; the nearer half of the points is one side, whatever ties there are, so that the depth
+is the logarithm of the number of points. By the triangle inequality a query at distance ``d`` from the vantage point
 finds nothing closer than ``|d - mu|`` on the other side, so that side is left out
 if ``factor * |d - mu|`` is more than the distance of the k-th best so far. With
 ``factor`` 1 the search is exact, larger factors leave out more.
@@ -35,6 +36,7 @@ LEAST_SHARD_ROWS = 2_000
 LEAF = 128
 BATCH = 256
 _CELLS = 1 << 21  # differences held at once
+_EPS = float(np.finfo(np.float64).eps)
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -62,6 +64,7 @@ class Tree:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, leaf: int = LEAF) -> None:
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors, self.leaf = ids[order], vectors[order], leaf
+        self.squares = np.einsum("ij,ij->i", self.vectors, self.vectors)
         self.root = self._build(np.arange(len(ids)))
 
     def _build(self, points: np.ndarray) -> Node:
@@ -71,14 +74,10 @@ class Tree:
         start = _distances(self.vectors[points[:1]], self.vectors[points])[0]
         vantage = self.vectors[points[int(start.argmax())]]
         d = _distances(vantage[None], self.vectors[points])[0]
-        mu = float(np.median(d))
-        near = d <= mu
-        if near.all():  # copies of one vector, or half of the points at the largest distance
-            near = d < mu
-            if not near.any():
-                return Node(points)
-            mu = float(np.nextafter(mu, 0))
-        return Node(None, vantage, mu, self._build(points[near]), self._build(points[~near]))
+        half = len(points) // 2
+        order = np.argpartition(d, half)
+        # Points at distance mu may be on both sides: inside none is farther, outside none is nearer.
+        return Node(None, vantage, float(d[order[half]]), self._build(points[order[:half]]), self._build(points[order[half:]]))
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
         """(distance, place in ``ids``) of the k best per query, nearest first; place -1: none."""
@@ -91,8 +90,7 @@ class Tree:
         if not len(rows):
             return
         if node.points is not None:
-            for at in range(0, len(node.points), 4096):  # a leaf of copies may be large
-                self._leaf(node.points[at : at + 4096], rows, query_ids, queries, best, found)
+            self._leaf(node.points, rows, query_ids, queries, best, found)
             return
         d = _distances(queries[rows], node.vantage[None])[:, 0]
         near = d <= node.mu
@@ -105,11 +103,26 @@ class Tree:
             self._visit(other, own[open_], query_ids, queries, best, found, factor)
 
     def _leaf(self, points: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, best: np.ndarray, found: np.ndarray) -> None:
-        k = best.shape[1]
+        k, vectors = best.shape[1], self.vectors[points]
         for at in range(0, len(rows), BATCH):
             part = rows[at : at + BATCH]
-            d = _distances(queries[part], self.vectors[points])
-            d[query_ids[part, None] == self.ids[None, points]] = np.inf
+            own = queries[part]
+            scale = np.einsum("ij,ij->i", own, own)[:, None] + self.squares[None, points]
+            # A matrix product tells, but for rounding, which points may be among the best; their distances come from the differences.
+            rounding = 8 * (own.shape[1] + 4) * _EPS * scale
+            far = scale - 2 * (own @ vectors.T) - rounding > best[part, -1:] ** 2 * (1 + 1e-12)
+            far |= query_ids[part, None] == self.ids[None, points]
+            some = ~far.all(1)
+            part = part[some]
+            if not len(part):
+                continue
+            d = np.full((len(part), len(points)), np.inf)
+            i, j = np.nonzero(~far[some])
+            step = max(1, _CELLS // own.shape[1])
+            for low in range(0, len(i), step):
+                a, b = i[low : low + step], j[low : low + step]
+                gap = queries[part[a]] - vectors[b]
+                d[a, b] = np.sqrt(np.einsum("ij,ij->i", gap, gap))
             every = np.concatenate([best[part], d], axis=1)
             place = np.concatenate([found[part], np.broadcast_to(points, d.shape)], axis=1)
             # Places are in the order of ids, so equal distances go to the smaller id.

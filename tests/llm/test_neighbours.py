@@ -62,3 +62,27 @@ def test_few_candidates_and_empty_tables(spark):
     empty = table(spark, [])
     assert neighbours.nearest(empty, empty).collect() == []
     assert neighbours.nearest(few, empty).collect() == []
+
+
+def test_ties_make_no_deep_tree():
+    n = 3000
+    for vectors in (np.eye(n, 64) + np.eye(n, 64, -64), np.eye(1500), np.ones((n, 3)), np.repeat(np.eye(3), 700, 0)):
+        ids = np.arange(len(vectors))
+        tree = neighbours.Tree(ids, vectors, leaf=4)
+        best, place = tree.search(ids[::500], vectors[::500], 10, 1.0)
+        for q, d, found in zip(ids[::500], best, place, strict=True):
+            every = np.sqrt(((vectors - vectors[q]) ** 2).sum(1))
+            every[q] = np.inf
+            order = np.lexsort((ids, every))[:10]
+            assert found.tolist() == order.tolist()
+            assert np.allclose(d, every[order], rtol=1e-15)
+
+
+def test_far_from_the_origin():
+    # Squares of large numbers lose what distinguishes the vectors, their differences do not.
+    vectors = 1e9 + np.random.default_rng(1).normal(size=(500, 6))
+    best, place = neighbours.Tree(np.arange(500), vectors, leaf=16).search(np.arange(20), vectors[:20], 10, 1.0)
+    for q in range(20):
+        every = np.sqrt(((vectors - vectors[q]) ** 2).sum(1))
+        every[q] = np.inf
+        assert place[q].tolist() == np.lexsort((np.arange(500), every))[:10].tolist()
