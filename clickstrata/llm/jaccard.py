@@ -33,7 +33,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources import stage
@@ -45,7 +45,8 @@ MOST_SUBSETS = 5_000  # subsets of one set for one partner size, at the most
 MOST_FREQUENT = 1 << 16  # bound on the shingles of long lists
 LONG_LIST = 32
 _SEEN = 1_000_000
-ENTRY_COLUMNS = ("bucket", "key", "size", "place", "least")
+SLOTS = 256  # tasks that the members of one bucket are spread over, at the most
+ENTRY_COLUMNS = ("bucket", "key", "size", "place", "least", "slot")
 _U = np.uint64
 
 
@@ -146,13 +147,26 @@ def _keyed(documents: DataFrame, carry: Sequence[str], text_col: str) -> DataFra
     return rows.mapInArrow(run, f"carried {rows.schema['carried'].dataType.simpleString()}, key binary, n long")
 
 
-def _listed(sets: Sets, keys: np.ndarray, own: np.ndarray) -> pa.RecordBatch:
-    """(bucket, key, size, place, least) of the listed shingles of the sets ``own``; ``least`` is 0."""
+def _slots(buckets: np.ndarray, keys: np.ndarray) -> pa.Array:
+    """Per entry: 0 if it is alone in its bucket here, 1 if it is the first of several, and by its key, from 2, if it is another of them."""
+    _, first, inverse, many = np.unique(buckets, return_index=True, return_inverse=True, return_counts=True)
+    slots = np.where(many[inverse] > 1, 2 + (keys[:, 0] % _U(SLOTS)).astype(np.int32), 0)
+    slots[first[many > 1]] = 1
+    return pa.array(slots.astype(np.int32))
+
+
+def _places(sets: Sets, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The place of each shingle in its set, and whether it is listed."""
     place = np.arange(len(sets.hashes)) - sets.first[sets.owners]
-    kept = own[sets.owners] & (place < prefix(sets.sizes)[sets.owners])
-    owner = sets.owners[kept]
-    columns = [_signed(sets.hashes[kept]), _binary(keys[owner]), pa.array(sets.sizes[owner].astype(np.int32)), pa.array(place[kept].astype(np.int32))]
-    return pa.RecordBatch.from_arrays([*columns, pa.array(np.zeros(len(owner), np.int32))], ENTRY_COLUMNS)
+    return place, own[sets.owners] & (place < prefix(sets.sizes)[sets.owners])
+
+
+def _listed(sets: Sets, keys: np.ndarray, own: np.ndarray) -> pa.RecordBatch:
+    """(bucket, key, size, place, least, slot) of the listed shingles of the sets ``own``; ``least`` is 0."""
+    place, kept = _places(sets, own)
+    owner, hashes = sets.owners[kept], sets.hashes[kept]
+    numbers = [pa.array(n.astype(np.int32)) for n in (sets.sizes[owner], place[kept], np.zeros(len(owner)))]
+    return pa.RecordBatch.from_arrays([_signed(hashes), _binary(keys[owner]), *numbers, _slots(hashes, keys[owner])], ENTRY_COLUMNS)
 
 
 def _enumerated(sets: Sets, keys: np.ndarray, small: np.ndarray, boundary: int) -> Iterator[pa.RecordBatch]:
@@ -170,7 +184,8 @@ def _enumerated(sets: Sets, keys: np.ndarray, small: np.ndarray, boundary: int)
                 v = values[at : at + rows]
                 h = W.mix(total[at : at + rows, None] - v[:, left_out].sum(2) + _U(min(s, t) * 1000 + max(s, t)))
                 numbers = [pa.array(np.full(h.size, n, np.int32)) for n in (s, 0, min(s, t))]
-                yield pa.RecordBatch.from_arrays([_signed(h.ravel()), _binary(np.repeat(keys[own[at : at + rows]], len(left_out), 0)), *numbers], ENTRY_COLUMNS)
+                owned = np.repeat(keys[own[at : at + rows]], len(left_out), 0)
+                yield pa.RecordBatch.from_arrays([_signed(h.ravel()), _binary(owned), *numbers, _slots(h.ravel(), owned)], ENTRY_COLUMNS)
 
 
 def _entries(texts: DataFrame, frequent: np.ndarray, boundary: int) -> DataFrame:
@@ -187,7 +202,34 @@ def _entries(texts: DataFrame, frequent: np.ndarray, boundary: int) -> DataFrame
             yield _listed(sets, keys, fresh & (sets.sizes >= least))
             yield from _enumerated(sets, keys, fresh & (sets.sizes <= boundary), boundary)
 
-    return texts.mapInArrow(run, "bucket long, key binary, size int, place int, least int")
+    return texts.mapInArrow(run, "bucket long, key binary, size int, place int, least int, slot int")
+
+
+def _met(entries: DataFrame) -> DataFrame:
+    """The entries of buckets with several members, from one shuffle of all entries.
+
+    Of the members that one slice of texts has in a bucket, only the first goes to the
+    bucket's common task; the others, which are not alone, are spread by their keys. So that task gets
+    one row per slice at the most, and is told by slot 1 that there are more.
+    """
+    entries = entries.withColumn("spread", F.when(F.col("slot") > 1, F.col("slot")).otherwise(0)).withColumn("own", F.xxhash64("key"))
+    bucket = Window.partitionBy("least", "bucket", "spread")
+    several = (F.max("slot").over(bucket) > 0) | (F.min("own").over(bucket) != F.max("own").over(bucket))
+    # Copies in different slices give equal entries.
+    return entries.withColumn("several", several).where("several").select("bucket", "key", "size", "place", "least").distinct()
+
+
+def _list_lengths(texts: DataFrame) -> DataFrame:
+    """(bucket, entries) of the lists of all sets, summed per slice before the shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = _First()
+        for part in W.slices(batches):
+            sets = Sets(part.column("text"))
+            listed, many = np.unique(sets.hashes[_places(sets, (sets.sizes > 0) & first(sets.keys()))[1]], return_counts=True)
+            yield pa.RecordBatch.from_arrays([_signed(listed), pa.array(many.astype(np.int64))], ["bucket", "entries"])
+
+    return texts.mapInArrow(run, "bucket long, entries long").groupBy("bucket").agg(F.sum("entries").alias("entries"))
 
 
 def _boundary(sizes: DataFrame, mean_list: float) -> int:
@@ -205,8 +247,7 @@ def _boundary(sizes: DataFrame, mean_list: float) -> int:
 
 def _frequent(texts: DataFrame) -> tuple[np.ndarray, float]:
     """Shingles with the longest lists (at most ``MOST_FREQUENT``), and how many entries a shingle of any other list meets."""
-    lists = _entries(texts, np.empty(0, _U), 0).groupBy("bucket").agg(F.count("*").alias("entries"))
-    counted = stage(lists.where("entries > 1"), "lists")
+    counted = stage(_list_lengths(texts).where("entries > 1"), "lists")
     long = max(LONG_LIST, (counted.agg(F.sum("entries")).first()[0] or 0) // MOST_FREQUENT)
     total, squares = counted.where(F.col("entries") <= long).agg(F.sum("entries"), F.sum(F.col("entries").cast("double") ** 2)).first()
     rows = counted.where(F.col("entries") > long).select("bucket").toLocalIterator()
@@ -230,8 +271,8 @@ def _reaches(s: str, i: str, t: str, j: str):
 
 def _with_pivots(entries: DataFrame, keep, by: Sequence[str]) -> DataFrame:
     """Pairs of each bucket's members with its smallest one."""
-    pivots = entries.groupBy(*by).agg(F.min(F.struct("size", "key")).alias("pivot"), F.count("*").alias("members")).where("members > 1")
-    met = entries.join(pivots.select(*by, F.col("pivot.size").alias("pivot_size"), F.col("pivot.key").alias("pivot_key")), list(by))
+    pivots = entries.groupBy(*by).agg(F.min(F.struct("size", "key", "place")).alias("pivot"), F.count("*").alias("members")).where("members > 1")
+    met = entries.join(pivots.select(*by, *[F.col(f"pivot.{c}").alias(f"pivot_{c}") for c in ("size", "key", "place")]), list(by))
     return met.where((F.col("key") != F.col("pivot_key")) & keep).select(*_pair("key", "pivot_key")).distinct()
 
 
@@ -301,13 +342,11 @@ def _roots(documents: DataFrame, keyed: DataFrame, text_col: str) -> DataFrame:
     texts = documents.select(F.col(text_col).alias("text"))
     frequent, mean_list = _frequent(texts)
     boundary = _boundary(keyed.where("n > 0").select("key", "n").distinct().groupBy("n").agg(F.count("*").alias("sets")), mean_list)
-    entries = stage(_entries(texts, frequent, boundary).distinct(), "entries")
-    met = entries.groupBy("least", "bucket").agg(F.count("*").alias("members")).where("members > 1")
-    entries = stage(entries.join(met, ["least", "bucket"], "left_semi"), "met")
+    entries = stage(_met(_entries(texts, frequent, boundary)), "met")
     lists, small = entries.where("least = 0"), entries.where("least > 0")
     # In a list, sets of about one size have a pivot; any other links are found across components.
     bands = lists.withColumn("band", F.floor(F.log("size") / F.log(F.lit(1.25))))
-    near = _with_pivots(bands, _fits("size", "pivot_size"), ("bucket", "band"))
+    near = _with_pivots(bands, _fits("size", "pivot_size") & _reaches("size", "place", "pivot_size", "pivot_place"), ("bucket", "band"))
     if boundary:
         # All members of a subset's bucket are linked with one of the smaller size, if there is one.
         near = near.union(_with_pivots(small, F.col("pivot_size") == F.col("least"), ("bucket", "least"))).distinct()

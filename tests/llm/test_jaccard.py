@@ -3,6 +3,7 @@
 import random
 
 import cases
+import numpy as np
 import pytest
 
 from clickstrata.llm import jaccard
@@ -96,3 +97,25 @@ def test_one_row_of_each_component_stays(spark):
     named = {c for _, n, c in want if n and c is not None}
     assert sorted(d for d in left if d is not None) == sorted(named)
     assert sum(d is None for d in left) == len({t for (d, t), (_, n, c) in zip(rows, want, strict=True) if n and c is None})
+
+
+def test_members_of_a_bucket_are_spread():
+    buckets = np.array([5, 7, 5, 5, 9, 7], np.uint64)
+    keys = np.stack([np.arange(6), np.zeros(6)], 1).astype(np.uint64)
+    slots = np.array(jaccard._slots(buckets, keys))
+    assert slots.tolist() == [1, 1, 2 + 2, 2 + 3, 0, 2 + 5]
+    assert np.array(jaccard._slots(buckets[:0], keys[:0])).tolist() == []
+
+
+def test_only_entries_that_meet_are_kept(spark):
+    rows = [(1, b"a", 0), (1, b"b", 0), (2, b"a", 0), (2, b"a", 0), (3, b"c", 1), (3, b"d", 9), (4, b"e", 0)]
+    entries = spark.createDataFrame([(bucket, key, 6, 1, 0, slot) for bucket, key, slot in rows], "bucket long, key binary, size int, place int, least int, slot int")
+    kept = jaccard._met(entries).select("bucket", "key").collect()
+    assert sorted((r["bucket"], bytes(r["key"])) for r in kept) == [(1, b"a"), (1, b"b"), (3, b"c"), (3, b"d")]
+
+
+def test_small_slices_change_nothing(spark, monkeypatch):
+    rows = corpus(6, 120)
+    monkeypatch.setattr(jaccard, "SLOTS", 2)
+    found = jaccard.similar_documents(cases.documents(spark, rows).repartition(7)).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, found), key=cases.key) == sorted(expected(rows), key=cases.key)
