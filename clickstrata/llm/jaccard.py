@@ -12,7 +12,10 @@ A document's set holds its distinct shingles of ``SIZE`` words. Sets ``A`` and
 * The boundary between the two is where the summed cost of both is least: subsets
   emitted against list entries met, from the sizes and lists of the data.
 
-Every candidate is verified on the whole sets. Equal sets are one node of the link
+Candidates are first compared by sketches: a shingle flips one of ``64 * SKETCH`` bits
+of its set's sketch, so two sketches differ in no more bits than the sets do in shingles, and a
+pair with more differing bits than linked sets can have is none. Every other
+candidate is verified on the whole sets. Equal sets are one node of the link
 graph, whatever the number of copies. In a bucket (subset or list) the members
 are first compared with one pivot; what that links is put into components.
 Only members of different components are then compared with each other, so a
@@ -45,6 +48,7 @@ MOST_SUBSETS = 5_000  # subsets of one set for one partner size, at the most
 MOST_FREQUENT = 1 << 16  # bound on the shingles of long lists
 LONG_LIST = 32
 _SEEN = 1_000_000
+SKETCH = 8  # 64-bit numbers of a sketch
 SLOTS = 256  # tasks that the members of one bucket are spread over, at the most
 ENTRY_COLUMNS = ("bucket", "key", "size", "place", "least", "slot")
 _U = np.uint64
@@ -108,6 +112,13 @@ class Sets:
         sums = [np.concatenate([np.zeros(1, _U), np.cumsum(W.mix(self.hashes ^ _U(salt)))]) for salt in (0x5851F42D4C957F2D, 0x14057B7EF767814F)]
         return np.stack([W.mix(s[self.first[1:]] - s[self.first[:-1]] + self.sizes.astype(_U)) for s in sums], 1)
 
+    def sketches(self) -> pa.Array:
+        """Per set, ``SKETCH`` numbers whose bits are flipped by its shingles."""
+        bit = W.mix(self.hashes ^ _U(0x9FB21C651E98DF25)) % _U(64 * SKETCH)
+        out = np.zeros(len(self.sizes) * SKETCH, np.uint64)
+        np.bitwise_xor.at(out, self.owners * SKETCH + (bit >> _U(6)).astype(np.int64), _U(1) << (bit & _U(63)))
+        return pa.ListArray.from_arrays(pa.array(np.arange(0, len(out) + 1, SKETCH, dtype=np.int32)), _signed(out))
+
 
 def _binary(keys: np.ndarray) -> pa.Array:
     raw = pa.py_buffer(np.ascontiguousarray(keys).tobytes())
@@ -135,16 +146,24 @@ class _First:
         return out
 
 
-def _keyed(documents: DataFrame, carry: Sequence[str], text_col: str) -> DataFrame:
-    """(carried, key, n) per row, and ``text`` if it is carried on."""
+def _keyed(documents: DataFrame, carry: Sequence[str], text_col: str, sketched: bool = False) -> DataFrame:
+    """(carried, key, n) per row, and ``sketch`` if it is asked for."""
     rows = documents.select(F.struct(*carry).alias("carried"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in W.slices(batches):
             sets = Sets(part.column("text"))
-            yield pa.RecordBatch.from_arrays([part.column("carried"), _binary(sets.keys()), pa.array(sets.sizes, pa.int64())], ["carried", "key", "n"])
+            columns = [part.column("carried"), _binary(sets.keys()), pa.array(sets.sizes, pa.int64()), *([sets.sketches()] if sketched else [])]
+            yield pa.RecordBatch.from_arrays(columns, ["carried", "key", "n", "sketch"][: len(columns)])
+
+    shape = f"carried {rows.schema['carried'].dataType.simpleString()}, key binary, n long"
+    return rows.mapInArrow(run, f"{shape}, sketch array<long>" if sketched else shape)
+
 
-    return rows.mapInArrow(run, f"carried {rows.schema['carried'].dataType.simpleString()}, key binary, n long")
+def _sets(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, key, n, sketch) per row, stored."""
+    keyed = _keyed(documents, [id_col], text_col, sketched=True)
+    return stage(keyed.select(F.col(f"carried.{id_col}").cast("long").alias("doc_id"), "key", "n", "sketch"), "sets")
 
 
 def _slots(buckets: np.ndarray, keys: np.ndarray) -> pa.Array:
@@ -212,9 +231,9 @@ def _met(entries: DataFrame) -> DataFrame:
     bucket's common task; the others, which are not alone, are spread by their keys. So that task gets
     one row per slice at the most, and is told by slot 1 that there are more.
     """
-    entries = entries.withColumn("spread", F.when(F.col("slot") > 1, F.col("slot")).otherwise(0)).withColumn("own", F.xxhash64("key"))
+    entries = entries.withColumn("spread", F.when(F.col("slot") > 1, F.col("slot")).otherwise(0))
     bucket = Window.partitionBy("least", "bucket", "spread")
-    several = (F.max("slot").over(bucket) > 0) | (F.min("own").over(bucket) != F.max("own").over(bucket))
+    several = (F.max("slot").over(bucket) > 0) | (F.min("key").over(bucket) != F.max("key").over(bucket))
     # Copies in different slices give equal entries.
     return entries.withColumn("several", several).where("several").select("bucket", "key", "size", "place", "least").distinct()
 
@@ -288,9 +307,17 @@ def _across(entries: DataFrame, labels: DataFrame) -> DataFrame:
     return met.select(*_pair("key", "key_")).distinct()
 
 
-def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _close(pairs: DataFrame, keyed: DataFrame) -> DataFrame:
+    """The pairs whose sketches do not rule out a link: linked sets of ``s`` and ``t`` shingles differ in at most ``(s + t) / 9``."""
+    sets = keyed.where("n > 0").groupBy("key").agg(F.first(F.struct("n", "sketch")).alias("set"))  # copies have the same
+    met = pairs.join(sets.select(F.col("key").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("key").alias("b"), F.col("set").alias("y")), "b")
+    differ = sum((F.bit_count(F.col("x.sketch")[k].bitwiseXOR(F.col("y.sketch")[k])) for k in range(SKETCH)), F.lit(0))
+    return met.where(differ * 9 <= F.col("x.n") + F.col("y.n")).select("a", "b")
+
+
+def _links(pairs: DataFrame, keyed: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs whose whole sets are similar enough."""
-    pairs = stage(pairs, "pairs")
+    pairs = stage(_close(pairs, keyed), "pairs")
     wanted = stage(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "key"), "wanted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,9 +333,8 @@ def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 [_binary(keys[own]), pa.ListArray.from_arrays(pa.array(offsets), _signed(sets.hashes[kept[sets.owners]]))], ["key", "shingles"]
             )
 
-    # Copies have the same shingles, so whichever comes first is right.
+    # Copies have the same shingles, so whichever comes first is right. Grouped by key, they are shuffled once for both joins.
     sets = texts.mapInArrow(run, "key binary, shingles array<long>").join(wanted, "key", "left_semi").groupBy("key").agg(F.first("shingles").alias("shingles"))
-    sets = stage(sets, "wanted_sets")
     left = sets.select(F.col("key").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("key").alias("b"), F.col("shingles").alias("y"))
     common = F.size(F.array_intersect("x", "y"))
@@ -350,8 +376,8 @@ def _roots(documents: DataFrame, keyed: DataFrame, text_col: str) -> DataFrame:
     if boundary:
         # All members of a subset's bucket are linked with one of the smaller size, if there is one.
         near = near.union(_with_pivots(small, F.col("pivot_size") == F.col("least"), ("bucket", "least"))).distinct()
-    links = _links(near, texts)
-    across = _links(_across(lists, components(links)), texts)
+    links = _links(near, keyed, texts)
+    across = _links(_across(lists, components(links)), keyed, texts)
     return components(links.union(across))
 
 
@@ -364,8 +390,7 @@ def _members(keyed: DataFrame, roots: DataFrame) -> DataFrame:
 
 def similar_documents(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) per document row."""
-    keyed = _keyed(documents, [id_col], text_col)
-    keyed = stage(keyed.select(F.col(f"carried.{id_col}").cast("long").alias("doc_id"), "key", "n"), "sets")
+    keyed = _sets(documents, id_col, text_col)
     members = _members(keyed, _roots(documents, keyed, text_col)).select("key", "component_id")
     full = keyed.where("n > 0").join(members, "key").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     empty = keyed.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
@@ -378,7 +403,7 @@ def keep_one(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     Texts are moved at most once, for a join with the sets that stay; of equal
     rows, or several texts with the smallest id, one stays.
     """
-    keyed = stage(_keyed(documents, [id_col], text_col).select(F.col(f"carried.{id_col}").cast("long").alias("doc_id"), "key", "n"), "sets")
+    keyed = _sets(documents, id_col, text_col)
     members = _members(keyed, _roots(documents, keyed, text_col))
     first = members.where(F.col("least").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min("key").alias("key"), F.first("component_id").alias("component_id"))
     copies = keyed.groupBy("key", "doc_id").agg(F.count("*").alias("copies"))

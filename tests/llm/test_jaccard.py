@@ -4,6 +4,7 @@ import random
 
 import cases
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from clickstrata.llm import jaccard
@@ -119,3 +120,26 @@ def test_small_slices_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "SLOTS", 2)
     found = jaccard.similar_documents(cases.documents(spark, rows).repartition(7)).select("doc_id", "n_shingles", "component_id").collect()
     assert sorted(map(tuple, found), key=cases.key) == sorted(expected(rows), key=cases.key)
+
+
+def test_sketches_rule_out_no_link():
+    texts = [t for _, t in corpus(8, 200)] + ["", " ".join(f"v{k}" for k in range(3000))]
+    own = jaccard.Sets(pa.array(texts))
+    numbers = np.array(own.sketches().to_pylist(), np.int64).view(np.uint64)
+    assert numbers.shape == (len(texts), jaccard.SKETCH)
+    for i in range(len(texts)):
+        for j in range(i):
+            a, b = (set(own.hashes[own.first[k] : own.first[k + 1]].tolist()) for k in (i, j))
+            assert int(np.bitwise_count(numbers[i] ^ numbers[j]).sum()) <= len(a ^ b)
+
+
+def test_a_shared_passage_makes_few_pairs(spark):
+    r = random.Random(9)
+    passage = " ".join(f"p{k}" for k in range(60))
+    rows = [(k, " ".join(f"a{r.randrange(10**9)}" for _ in range(120)) + f" {passage}") for k in range(300)]
+    documents = cases.documents(spark, rows)
+    keyed = jaccard._sets(documents, "doc_id", "text")
+    every = keyed.select(keyed["key"].alias("a")).crossJoin(keyed.select(keyed["key"].alias("b"))).where("a < b")
+    assert every.count() == 300 * 299 // 2
+    assert jaccard._close(every, keyed).count() == 0
+    same(spark, rows)
