@@ -12,9 +12,10 @@ A document's set holds its distinct shingles of ``SIZE`` words. Sets ``A`` and
 * The boundary between the two is where the summed cost of both is least: subsets
   emitted against list entries met, from the sizes and lists of the data.
 
-Candidates are first compared by sketches: a shingle flips one of ``64 * SKETCH`` bits
+Candidates are first compared by sketches: a shingle flips one of the bits
 of its set's sketch, so two sketches differ in no more bits than the sets do in shingles, and a
-pair with more differing bits than linked sets can have is none. Every other
+pair with more differing bits than linked sets can have is none. A sketch has twice as
+many bits as the set has shingles, at least, so that those of long texts do not all look alike. Every other
 candidate is verified on the whole sets. Equal sets are one node of the link
 graph, whatever the number of copies. In a bucket (subset or list) the members
 are first compared with one pivot; what that links is put into components.
@@ -48,7 +49,8 @@ MOST_SUBSETS = 5_000  # subsets of one set for one partner size, at the most
 MOST_FREQUENT = 1 << 16  # bound on the shingles of long lists
 LONG_LIST = 32
 _SEEN = 1_000_000
-SKETCH = 8  # 64-bit numbers of a sketch
+SKETCH = 8  # 64-bit numbers of a sketch, at the least
+WIDEST = 1 << 10  # and at the most
 SLOTS = 256  # tasks that the members of one bucket are spread over, at the most
 ENTRY_COLUMNS = ("bucket", "key", "size", "place", "least", "slot")
 _U = np.uint64
@@ -78,6 +80,14 @@ def enumerable(s: int) -> bool:
     return s <= LONGEST_SMALL and all(comb(s, needed(s, t)) <= MOST_SUBSETS for t in partners(s))
 
 
+def sketch_width(s: np.ndarray) -> np.ndarray:
+    """Numbers of the sketches of sets of these sizes: a power of two, for linked sets the same or twice as many."""
+    width = np.full(len(s), SKETCH)
+    while (short := (32 * width < s) & (width < WIDEST)).any():
+        width[short] *= 2
+    return width
+
+
 class Sets:
     """Shingle sets of a slice of texts, end to end: sorted by text, then by the order of shingles."""
 
@@ -119,6 +129,15 @@ class Sets:
         np.bitwise_xor.at(out, self.owners * SKETCH + (bit >> _U(6)).astype(np.int64), _U(1) << (bit & _U(63)))
         return pa.ListArray.from_arrays(pa.array(np.arange(0, len(out) + 1, SKETCH, dtype=np.int32)), _signed(out))
 
+    def wide_sketches(self) -> pa.Array:
+        """The same with :func:`sketch_width` numbers; the first half of a sketch xor the second is the sketch of half the width."""
+        width = sketch_width(self.sizes)
+        ends = np.concatenate([[0], np.cumsum(width)])
+        bit = W.mix(self.hashes ^ _U(0x9FB21C651E98DF25)) & (64 * width - 1).astype(np.uint64)[self.owners]
+        out = np.zeros(ends[-1], np.uint64)
+        np.bitwise_xor.at(out, ends[self.owners] + (bit >> _U(6)).astype(np.int64), _U(1) << (bit & _U(63)))
+        return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), _signed(out))
+
 
 def _binary(keys: np.ndarray) -> pa.Array:
     raw = pa.py_buffer(np.ascontiguousarray(keys).tobytes())
@@ -153,7 +172,7 @@ def _keyed(documents: DataFrame, carry: Sequence[str], text_col: str, sketched:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in W.slices(batches):
             sets = Sets(part.column("text"))
-            columns = [part.column("carried"), _binary(sets.keys()), pa.array(sets.sizes, pa.int64()), *([sets.sketches()] if sketched else [])]
+            columns = [part.column("carried"), _binary(sets.keys()), pa.array(sets.sizes, pa.int64()), *([sets.wide_sketches()] if sketched else [])]
             yield pa.RecordBatch.from_arrays(columns, ["carried", "key", "n", "sketch"][: len(columns)])
 
     shape = f"carried {rows.schema['carried'].dataType.simpleString()}, key binary, n long"
@@ -311,7 +330,9 @@ def _close(pairs: DataFrame, keyed: DataFrame) -> DataFrame:
     """The pairs whose sketches do not rule out a link: linked sets of ``s`` and ``t`` shingles differ in at most ``(s + t) / 9``."""
     sets = keyed.where("n > 0").groupBy("key").agg(F.first(F.struct("n", "sketch")).alias("set"))  # copies have the same
     met = pairs.join(sets.select(F.col("key").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("key").alias("b"), F.col("set").alias("y")), "b")
-    differ = sum((F.bit_count(F.col("x.sketch")[k].bitwiseXOR(F.col("y.sketch")[k])) for k in range(SKETCH)), F.lit(0))
+    width = F.least(F.size("x.sketch"), F.size("y.sketch"))
+    x, y = (F.when(F.size(c) > width, F.zip_with(F.slice(c, 1, width), F.slice(c, width + 1, width), lambda p, q: p.bitwiseXOR(q))).otherwise(F.col(c)) for c in ("x.sketch", "y.sketch"))
+    differ = F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda total, bits: total + bits)
     return met.where(differ * 9 <= F.col("x.n") + F.col("y.n")).select("a", "b")
 
 

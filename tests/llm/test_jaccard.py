@@ -143,3 +143,37 @@ def test_a_shared_passage_makes_few_pairs(spark):
     assert every.count() == 300 * 299 // 2
     assert jaccard._close(every, keyed).count() == 0
     same(spark, rows)
+
+
+def _texts_in_part_alike(r, n, shared):
+    """Two texts of ``n`` words each, ``shared`` of them a common beginning."""
+    passage = [f"p{r.randrange(10**9)}" for _ in range(shared)]
+    return [" ".join(passage + [f"q{r.randrange(10**9)}" for _ in range(n - shared)]) for _ in range(2)]
+
+
+def test_wide_sketches_rule_out_no_link():
+    r = random.Random(12)
+    texts = [t for n in (200, 256, 270, 300, 600, 1100, 1300) for shared in (n // 2, n * 9 // 10) for t in _texts_in_part_alike(r, n, shared)]
+    own = jaccard.Sets(pa.array([*texts, "", "one"]))
+    numbers = [np.array(row, np.int64).view(np.uint64) for row in own.wide_sketches().to_pylist()]
+    assert [len(row) for row in numbers] == jaccard.sketch_width(own.sizes).tolist()
+    assert all(64 * len(row) >= 2 * n for row, n in zip(numbers, own.sizes.tolist(), strict=True))
+    for i in range(len(numbers)):
+        for j in range(i):
+            x, y = sorted((numbers[i], numbers[j]), key=len)
+            while len(y) > len(x):
+                y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+            a, b = (set(own.hashes[own.first[k] : own.first[k + 1]].tolist()) for k in (i, j))
+            assert int(np.bitwise_count(x ^ y).sum()) <= len(a ^ b)
+
+
+def test_long_texts_in_part_alike_make_no_pairs(spark):
+    """Sketches of a fixed width look alike for long texts, whose whole sets then went through a shuffle by pair."""
+    r = random.Random(13)
+    rows = [(k, t) for k, t in enumerate(t for n in (1500, 2000, 2080, 4000) for _ in range(3) for t in _texts_in_part_alike(r, n, n // 2))]
+    rows += [(100 + k, t) for k, t in enumerate(t for n in (1500, 2060, 4000) for t in _texts_in_part_alike(r, n, n * 19 // 20))]
+    documents = cases.documents(spark, rows)
+    keyed = jaccard._sets(documents, "doc_id", "text")
+    every = keyed.select(keyed["key"].alias("a")).crossJoin(keyed.select(keyed["key"].alias("b"))).where("a < b")
+    assert jaccard._close(every, keyed).count() == 3
+    same(spark, rows)
