@@ -211,3 +211,32 @@ def test_last_bits_make_no_difference(spark):
     for scores in ("scores", "walked_scores"):
         found = [{r[0]: r[1] for r in getattr(one, scores)(frame(spark, t)).collect()} for t in (table, shaken)]
         assert found[0] == found[1]
+
+
+def test_one_task_or_several_grow_the_same_trees(spark, monkeypatch):
+    table, held_out = sessions(1000, 11), sessions(400, 12, "validation")
+    settings = SETTINGS | dict(rounds=9, patience=4, stored_every=3, leaves=16)
+    one = boosting.train_boosted(frame(spark, table), frame(spark, held_out), **settings)
+    monkeypatch.setattr(boosting, "FILE_ROWS", 300)
+    several = boosting.train_boosted(frame(spark, table, 4), frame(spark, held_out), **settings)
+    assert one.nodes == several.nodes
+    assert one.rounds > 1
+
+
+def test_jobs_do_not_grow_with_the_trees_of_one_task(spark):
+    """A job for each level of each tree took minutes on a few thousand rows."""
+    train, jobs = frame(spark, sessions(600, 13)), {}
+    for rounds in (2, 25):
+        spark.sparkContext.setJobGroup(f"boosting-{rounds}", "rounds")
+        model = boosting.train_boosted(train, **SETTINGS | dict(rounds=rounds, leaves=8))
+        assert model.rounds == rounds
+        jobs[rounds] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"boosting-{rounds}"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[25] <= jobs[2] + 2
+
+
+def test_splits_stop_helping(spark):
+    """Fewer trees than asked for, from one task."""
+    table = sessions(200, 14)
+    settings = SETTINGS | dict(rounds=12, least_rows=101)
+    assert boosting.train_boosted(frame(spark, table), **settings).rounds == 0
